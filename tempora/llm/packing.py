@@ -52,7 +52,7 @@ class Encoder:
 
     #: The pre-token pattern of this kind of file. Fixed value.
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-    BEYOND_LATIN = re.compile("[^\x00-\u024f]").search
+    BEYOND_LATIN = re.compile("[^\x00-\u024f]")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -85,7 +85,7 @@ class Encoder:
         return tiktoken.Encoding("file", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def stretch(self, text: str) -> np.ndarray:
-        if self.fast and (text.isascii() or not self.BEYOND_LATIN(text)):
+        if self.fast and (text.isascii() or not self.BEYOND_LATIN.search(text)):
             return np.array(self.fast(text), dtype=np.uint32)
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 

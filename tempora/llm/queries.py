@@ -6,17 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, mixing, packing, url_filter
+from . import license_scan, media, mixing, packing, url_filter, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filters": url_filter.op1_url_filters,
+        "op4_warc": warc.op4_warc,
         "op6_packing": packing.op6_packing,
+        "op7_media_columns": media.op7_media_columns,
         "op9_license_scan": license_scan.op9_license_scan,
         "op10_mixing": mixing.op10_mixing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filters": url_filter.OP1_SQL, "op10_mixing": mixing.OP10_SQL}
+    return {"op1_url_filters": url_filter.OP1_SQL, "op4_warc": warc.OP4_SQL, "op10_mixing": mixing.OP10_SQL}
