@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, media, mixing, packing, simhash, toxicity, url_filter, warc
+from . import license_scan, media, mixing, packing, simhash, substring_dedup, toxicity, url_filter, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_packing": packing.op6_packing,
         "op7_media_columns": media.op7_media_columns,
+        "op8_suffix_dedup": substring_dedup.op8_suffix_dedup,
         "op9_license_scan": license_scan.op9_license_scan,
         "op10_mixing": mixing.op10_mixing,
     }
