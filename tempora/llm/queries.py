@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, media, mixing, packing, simhash, substring_dedup, toxicity, url_filter, warc
+from . import ann, license_scan, media, mixing, packing, simhash, substring_dedup, toxicity, url_filter, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filters": url_filter.op1_url_filters,
         "op2_simhash": simhash.op2_simhash,
+        "op3_ann": ann.op3_ann,
         "op4_warc": warc.op4_warc,
         "op5_toxicity": toxicity.op5_toxicity,
         "op6_packing": packing.op6_packing,
