@@ -196,10 +196,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", fit_row
     return ToxicityModel(voters, *fit_linear(features, posterior))
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The key columns, score and hits of every row."""
+def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", keys: tuple[str, ...] = ("doc_id",), keep_text: bool = False) -> DataFrame:
+    """The key columns, score and hits of every row; with ``keep_text`` the text too."""
     chosen = need_columns(docs, *keys, text)
-    ddl = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields if f.name in keys], "score double, hits int"])
+    kept = [f for f in chosen.schema.fields if keep_text or f.name != text]
+    ddl = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], "score double, hits int"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         patterns = [re.compile(p) for _, p in PATTERNS]
@@ -209,8 +210,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", ke
                 fired, n = model.voters.fire(value, patterns)
                 scores.append(model.score(fired, n))
                 hits.append(n)
-            kept = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(scores, pa.float64()), pa.array(hits, pa.int32())], names=[*batch.schema.names[:-1], "score", "hits"])
+            n = batch.num_columns if keep_text else batch.num_columns - 1
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(n)], pa.array(scores, pa.float64()), pa.array(hits, pa.int32())], names=[*batch.schema.names[:n], "score", "hits"])
 
     return chosen.mapInArrow(run, ddl)
 
