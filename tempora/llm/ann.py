@@ -37,12 +37,12 @@ NEIGHBOURS = 20
 #: number of probes.
 SAMPLE_ROWS, PROBE_ROWS = 12_000, 600
 #: Rows meant for one part, and the least and most parts.
-PART_ROWS, MIN_PARTS, MAX_PARTS = 2000, 8, 1024
+PART_ROWS, MIN_PARTS, MAX_PARTS = 8192, 8, 1024
 TARGET_RECALL = 0.96
 #: Edges of a vector in the graph, rounds of refining, and how much fuller than the mean a part is.
 EDGES, ROUNDS, SLACK = 10, 12, 1.1
 #: Rows and queries that meet in one group.
-BLOCK_ROWS, BLOCK_QUERIES = 2048, 4096
+BLOCK_ROWS, BLOCK_QUERIES = 8192, 4096
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
