@@ -268,7 +268,9 @@ def cover_windows(contexts: DataFrame, span: int) -> DataFrame:
     rows = contexts.select("anchor", "context", "shift", "count", "bytes").mapInArrow(run, "h1 long, h2 long, anchor long, context long, count long, start int")
     rows = materialise(rows, "spans-windows")
     twice = rows.groupBy("h1", "h2").agg(F.sum("count").alias("n")).where("n > 1").select(F.col("h1").alias("_1"), F.col("h2").alias("_2"))
-    return rows.join(twice, (F.col("h1") == F.col("_1")) & (F.col("h2") == F.col("_2"))).select("anchor", "context", "start", (F.col("start") + span).alias("end"))
+    hits = rows.join(twice, (F.col("h1") == F.col("_1")) & (F.col("h2") == F.col("_2")))
+    # windows of one context start less than a span apart, so together they cover one span
+    return hits.groupBy("anchor", "context").agg(F.min("start").alias("start"), (F.max("start") + span).alias("end"))
 
 
 def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM, max_contexts: int = MAX_CONTEXTS) -> DataFrame:
@@ -281,6 +283,7 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM, max_cont
     anchors = materialise(anchor_rows(long, span, gram), "spans-anchors")
     spot = F.xxhash64("key", "place")
     several = anchors.groupBy("anchor").agg(F.min(spot).alias("_a"), F.max(spot).alias("_b")).where("_a <> _b").select(F.col("anchor").alias("_anchor"))
+    several = materialise(several, "spans-several")  # as a table of its own the join can split hot anchors
     kept = anchors.join(several, F.col("anchor") == F.col("_anchor"), "left_semi").groupBy("key", "place").agg(F.first("anchor").alias("anchor"), F.first("first").alias("first"), F.first("last").alias("last"))
     lists = kept.groupBy("key").agg(F.collect_list(F.struct("anchor", "place", "first", "last")).alias("anchors")).withColumnRenamed("key", "_key")
     texts = long.groupBy("key").agg(F.first("text").alias("text")).join(lists, F.col("key") == F.col("_key")).select("key", "text", "anchors")
@@ -289,7 +292,7 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM, max_cont
 
     one = placed.groupBy("anchor", "context").agg(F.count("*").alias("count"), F.first("shift").alias("shift"), F.first("bytes", True).alias("bytes"), F.first("length").alias("length"))
     one = materialise(one, "spans-distinct")
-    sizes = one.groupBy("anchor").agg(F.count("*").alias("_n")).withColumnRenamed("anchor", "_anchor")
+    sizes = materialise(one.groupBy("anchor").agg(F.count("*").alias("_n")).withColumnRenamed("anchor", "_anchor"), "spans-sizes")
     sized = one.join(sizes, F.col("anchor") == F.col("_anchor")).drop("_anchor")
     covered = cover_groups(sized.where(F.col("_n").between(2, max_contexts)), span)
     covered = covered.union(sized.where("_n = 1 and count > 1").select("anchor", "context", F.lit(0).alias("start"), F.col("length").alias("end")))
