@@ -231,7 +231,7 @@ def near_duplicates(prints: DataFrame, tables: list[list[int]], radius: int, key
     edges = link_shards(shard_rows(first, tables), radius)
     found = connected_components(edges)
     rooted = first.join(found, F.col("fp") == F.col("node"), "left").select(F.col("fp").alias("_fp"), "_first", F.coalesce("root", "fp").alias("_root"))
-    least = rooted.groupBy("_root").agg(F.min("_first").alias("component_id")).withColumnRenamed("_root", "_of")
+    least = materialise(rooted.groupBy("_root").agg(F.min("_first").alias("component_id")).withColumnRenamed("_root", "_of"), "simhash-least")
     named = rooted.join(least, F.col("_root") == F.col("_of")).select("_fp", "component_id")
     return prints.join(named, F.col("fp") == F.col("_fp")).drop("_fp")
 
