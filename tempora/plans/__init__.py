@@ -1,4 +1,4 @@
 """Registered queries and their SQL."""
 
-from . import event_queries, timeline_queries  # noqa: F401
+from . import event_queries, timeline_queries, track_queries  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401
