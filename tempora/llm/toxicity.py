@@ -113,7 +113,7 @@ def mine_voters(sample: DataFrame, text: str = "text", max_voters: int = MAX_VOT
     return Voters({f: n for n, f in enumerate(chosen)})
 
 
-def label_model(votes: np.ndarray, prior: float = 0.1, rounds: int = 60) -> tuple[np.ndarray, dict]:
+def label_model(votes: np.ndarray, prior: float = 0.1, rounds: int = 60, least_right: float = 0.9) -> tuple[np.ndarray, dict]:
     """Posterior of the toxic label for each row of a 0/1 vote matrix, and what was estimated:
     prior, firing rates under either label, conditional correlations and voter weights.
 
@@ -133,7 +133,8 @@ def label_model(votes: np.ndarray, prior: float = 0.1, rounds: int = 60) -> tupl
             rate1[-1] = min(rate1[-1], 0.02)
             # voters are taken to be right nine times in ten at least, as mining asks: a small group of voters that
             # fire together, as those of one language do, is then not explained as a clean class
-            rate0[:-1] = np.minimum(rate0[:-1], rate1[:-1] * prior / (1 - prior) / 9)
+            if least_right:
+                rate0[:-1] = np.minimum(rate0[:-1], rate1[:-1] * prior / (1 - prior) * (1 - least_right) / least_right)
             logit = np.log(prior / (1 - prior)) + votes @ (share * (np.log(rate1) - np.log(rate0)))
             new = 1 / (1 + np.exp(-np.clip(logit, -40, 40)))
             moved = np.abs(new - posterior).max(initial=0)
