@@ -284,7 +284,8 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM, max_cont
     spot = F.xxhash64("key", "place")
     several = anchors.groupBy("anchor").agg(F.min(spot).alias("_a"), F.max(spot).alias("_b")).where("_a <> _b").select(F.col("anchor").alias("_anchor"))
     several = materialise(several, "spans-several")  # as a table of its own the join can split hot anchors
-    kept = anchors.join(several, F.col("anchor") == F.col("_anchor"), "left_semi").groupBy("key", "place").agg(F.first("anchor").alias("anchor"), F.first("first").alias("first"), F.first("last").alias("last"))
+    # windows on both sides of a stretch's border can have one anchor place: they are contiguous
+    kept = anchors.join(several, F.col("anchor") == F.col("_anchor"), "left_semi").groupBy("key", "place").agg(F.first("anchor").alias("anchor"), F.min("first").alias("first"), F.max("last").alias("last"))
     lists = kept.groupBy("key").agg(F.collect_list(F.struct("anchor", "place", "first", "last")).alias("anchors")).withColumnRenamed("key", "_key")
     texts = long.groupBy("key").agg(F.first("text").alias("text")).join(lists, F.col("key") == F.col("_key")).select("key", "text", "anchors")
     placed = materialise(context_rows(texts, span), "spans-contexts")

@@ -376,6 +376,25 @@ def test_repeated_strings(spark, max_contexts, monkeypatch):
             assert bytes(got.kept) == b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
 
 
+def test_repeated_strings_at_stretch_borders(spark):
+    border, texts = substring_dedup.STRETCH, []
+    for i, before in enumerate((0, 1, 60, 150, 200, 250, 330, 399, 400, 410, 450)):  # bytes of the shared string ahead of the border
+        shared = prose(100 + i, 120)[: 400 + i * 5]
+        start = border - before
+        texts += [(prose(200 + i, 26_000)[:start] + shared + prose(300 + i, 100)), prose(400 + i, 20) + shared + prose(500 + i, 20)]
+        assert texts[-2].index(shared) == start
+    rows, cut = substring_dedup.remove_repeats(documents(spark, texts))
+    found = {bytes(r.of): r for r in cut.collect()}
+    raw = [t.encode() for t in texts]
+    spans = brute_spans(raw, 400)
+    for r in rows.collect():
+        want = spans[r.doc_id]
+        edges = [0, *[e for p in want for e in p], len(raw[r.doc_id])]
+        got = found[bytes(r.key)]
+        assert (got.n_removed, got.n_spans) == (sum(b - a for a, b in want), len(want))
+        assert bytes(got.kept) == b"".join(raw[r.doc_id][a:b] for a, b in zip(edges[::2], edges[1::2]))
+
+
 def test_whole_characters():
     data = "aéé€b".encode()
     for start in range(len(data) + 1):
