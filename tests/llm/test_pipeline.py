@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tempora.llm import simhash, substring_dedup
+from tempora.llm import near_sets, simhash, substring_dedup
 from tempora.llm.packing import default_tokenizer
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, key string"
@@ -123,6 +123,47 @@ def test_near_copies_link_and_others_do_not():
     assert (prints[0] ^ far).bit_count() > 2 * radius
 
 
+def left_of(spark, rows):
+    docs = spark.createDataFrame([(i, t, "en", "s0", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    return sorted(((r.doc_id, r.text) for r in stage("near_duplicates")(spark, docs.repartition(3), "").collect()), key=str)
+
+
+def changed(text, spots, mark):
+    return " ".join(mark + str(k) if k in spots else w for k, w in enumerate(text))
+
+
+def test_pairs_from_a_similarity_of_four_fifths_are_linked_and_no_others(spark):
+    # 300 words have 296 shingles; a changed word in five shingles' midst takes five of them
+    near, far = set(range(10, 70, 10)), set(range(10, 100, 10))  # 266 of 326: 0.816; 251 of 341: 0.736
+    rows = []
+    for i in range(150):
+        text = words(2000 + i, 300)
+        rows += [(4 * i, " ".join(text)), (4 * i + 1, changed(text, near, "n")), (4 * i + 2, changed(text[::-1], far, "f")), (4 * i + 3, " ".join(text[::-1]))]
+    assert [i for i, _ in sorted(left_of(spark, rows))] == [i for i, _ in rows if i % 4 != 1]
+
+
+@pytest.mark.parametrize("most", [1 << 20, 200])
+def test_groups_equal_brute_force(spark, most):
+    rng, texts = random.Random(5), [None, "", "one", "One"]
+    for i in range(12):
+        text = words(3000 + i, 60)
+        texts += [changed(text, set(rng.sample(range(60), rng.randrange(4))), "x") for _ in range(8)]
+    sets = [frozenset(near_sets.shingle_set(t, 5).tolist()) for t in texts]
+    group = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if sets[i] == sets[j] or len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                group = [group[j] if g == group[i] else g for g in group]
+    docs = spark.createDataFrame([(i, str(t or "").encode(), t) for i, t in enumerate(texts)], "key long, digest binary, text string")
+    found = {}
+    for r in near_sets.similar_groups(docs, 5, 0.8, most).collect():
+        found.setdefault(bytes(r.group), set()).add(r.key)
+    want = {}
+    for i, g in enumerate(group):
+        want.setdefault(g, set()).add(i)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, want.values()))
+
+
 def test_held_out_fold_is_crc32_of_the_text(spark):
     from tempora.llm.toxicity import fold
 
