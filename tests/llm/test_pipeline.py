@@ -142,6 +142,12 @@ def test_pairs_from_a_similarity_of_four_fifths_are_linked_and_no_others(spark):
     assert [i for i, _ in sorted(left_of(spark, rows))] == [i for i, _ in rows if i % 4 != 1]
 
 
+def test_one_line_repeated_does_not_make_copies(spark):
+    line = " ".join(words(900, 12)) + " "
+    rows = [(i, line * 60 + " ".join(words(901 + i, 100))) for i in range(4)]
+    assert [i for i, _ in left_of(spark, rows)] == [0, 1, 2, 3]
+
+
 @pytest.mark.parametrize("most", [1 << 20, 200])
 def test_groups_equal_brute_force(spark, most):
     rng, texts = random.Random(5), [None, "", "one", "One"]
