@@ -128,6 +128,12 @@ def left_of(spark, rows):
     return sorted(((r.doc_id, r.text) for r in stage("near_duplicates")(spark, docs.repartition(3), "").collect()), key=str)
 
 
+def test_rows_of_one_doc_id_are_judged_by_their_groups(spark):
+    a, b, c, d = (" ".join(words(800 + i, 80)) for i in range(4))
+    rows = [(7, a), (7, b), (3, b), (None, c), (None, d), (None, d), (None, a)]
+    assert left_of(spark, rows) == sorted([(7, a), (3, b), (None, c), (None, d)], key=str)
+
+
 def changed(text, spots, mark):
     return " ".join(mark + str(k) if k in spots else w for k, w in enumerate(text))
 
