@@ -1,15 +1,15 @@
 """Licence scans with a positional rare-token index (native).
 
 Licence templates are short key passages. Their words, with inverse document frequencies counted
-over the whole corpus, form a positional index: word -> (template, position). Of each file the
-highest-IDF licence words are looked up; a hit at place i for a posting at position p votes for
+over the whole corpus, form a positional index: word -> (template, position). Of each file all
+indexed words are looked up, which the templates bound; a hit at place i for a posting at position p votes for
 the template at place i - p. The votes of one template and place are intersected by adding up the
 IDF of the positions that agree; where they reach a share of the template's weight and a mandatory
 key phrase of the template stands at its place, the file gets the template's label. Base phrases
 are found at every place, whatever their IDF.
 
 Defined cases: null text has no words; empty text neither; both give n_words 0, no labels and
-score 0. Repeated rows are scanned one by one. Equal IDF is ordered by word.
+score 0. Repeated rows are scanned one by one.
 """
 
 from __future__ import annotations
@@ -43,9 +43,8 @@ TEMPLATES = [
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ["permission to use copy modify"]),
     ("unlicense", "this is free and unencumbered software released into the public domain", ["unencumbered software"]),
 ]
-#: Words of highest IDF that are looked up in each file, and the share of a template's indexed
-#: weight that must agree at one place.
-RARE_WORDS, MIN_SHARE = 24, 0.6
+#: Share of a template's indexed weight that must agree at one place.
+MIN_SHARE = 0.6
 #: A template is indexed under this many of its rarest positions.
 POSTINGS = 5
 
@@ -72,7 +71,7 @@ def phrase_starts(words: Column, hits: Column, phrase: list[str], anchor: int) -
     return F.filter(first, lambda s: (s >= 0) & (F.slice(words, F.greatest(s, F.lit(0)) + 1, len(phrase)) == F.array(*[F.lit(w) for w in phrase])))
 
 
-def scan_licenses(docs: DataFrame, text: str = "text", rare_words: int = RARE_WORDS, min_share: float = MIN_SHARE) -> DataFrame:
+def scan_licenses(docs: DataFrame, text: str = "text", min_share: float = MIN_SHARE) -> DataFrame:
     """docs' columns but the text, with n_words, base_starts (array), base_labels (array), labels
     (array) and score. docs must have no columns of these names or starting with an underscore."""
     vocab = vocabulary()
@@ -114,21 +113,13 @@ def scan_licenses(docs: DataFrame, text: str = "text", rare_words: int = RARE_WO
     )
     narrow = materialise(narrow, "license-scan")
 
-    # postings of each file's rarest words vote for (template, place)
-    index = [F.lit(x) for w, ps in sorted(postings.items()) for x in (w,)]
-    idf_map = F.create_map(*[F.lit(x) for w in sorted(postings) for x in (w, idf[w])])
+    # postings of each file's indexed words vote for (template, place)
     posting_map = F.create_map(
         *[x for w, ps in sorted(postings.items()) for x in (F.lit(w), F.array(*[F.struct(F.lit(t).alias("template"), F.lit(k).alias("position"), F.lit(share).alias("share")) for t, k, share in ps]))]
     )
-    assert len(index) == len(postings)
-    indexed = F.filter("_hits", lambda h: h.word.isin(sorted(postings)))
-    ordered = F.array_sort(F.transform(F.array_distinct(F.transform(indexed, lambda h: h.word)), lambda w: F.struct((-idf_map[w]).alias("o"), w.alias("word"))))
-    top = F.transform(F.slice(ordered, 1, rare_words), lambda x: x.word)
     votes = (
         narrow.where(F.size("_hits") > 0)
-        .withColumn("_top", top)
-        .select("_row", "_top", "_starts", F.explode("_hits").alias("_h"))
-        .where(F.array_contains("_top", F.col("_h.word")))
+        .select("_row", "_starts", F.explode(F.filter("_hits", lambda h: h.word.isin(sorted(postings)))).alias("_h"))
         .select("_row", "_starts", F.col("_h.place").alias("_place"), F.explode(posting_map[F.col("_h.word")]).alias("_p"))
         .groupBy("_row", F.col("_p.template").alias("_template"), (F.col("_place") - F.col("_p.position")).alias("_at"))
         .agg(F.sum("_p.share").alias("_share"), F.first("_starts").alias("_starts"))

@@ -426,6 +426,14 @@ def test_licenses(spark):
     assert license_scan.scan_licenses(documents(spark, ["x"]).where("doc_id < 0").select("doc_id", "text")).count() == 0
 
 
+def test_licenses_of_a_file_that_holds_them_all(spark):
+    passages = [p for _, p, _ in license_scan.TEMPLATES]
+    texts = [". ".join(f"{prose(i, 30)} {p}" for i, p in enumerate(passages))] + ["licensed under cc by nc 4 0 in the public domain"] * 40
+    got = {r.doc_id: r for r in license_scan.scan_licenses(documents(spark, texts).select("doc_id", "text")).collect()}
+    assert got[0].labels == sorted({label for label, _, _ in license_scan.TEMPLATES}) and got[0].score == pytest.approx(1)
+    assert got[1].labels == ["cc-by-nc"]
+
+
 # --- mixing
 
 
