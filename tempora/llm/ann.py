@@ -181,30 +181,36 @@ FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", p
 def rank_block(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """The k nearest rows of a block for each of its queries; scores are sums in component order."""
 
-    def distinct(ids: np.ndarray, rows: np.ndarray, most: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct vectors; and all ids in order of vector and id, at most ``most`` of each, with
-        the number of their vector."""
+    def distinct(ids: np.ndarray, rows: np.ndarray, most: int | None) -> tuple[np.ndarray, ...]:
+        """Distinct vectors; and their distinct ids in order of vector and id, at most ``most`` of
+        each vector, with the number of their vector and how often they stand there."""
         unique, number = np.unique(rows, axis=0, return_inverse=True)
         number = number.ravel()
         order = np.lexsort((ids, number))
         ids, number = ids[order], number[order]
+        new = np.flatnonzero(np.concatenate([[True], (np.diff(number) != 0) | (np.diff(ids) != 0)]))
+        times = np.diff(np.append(new, len(ids)))
+        ids, number = ids[new], number[new]
         if most is not None:
             rank = np.arange(len(number)) - np.searchsorted(number, number)
-            ids, number = ids[rank < most], number[rank < most]
-        return unique, ids, number
+            ids, number, times = ids[rank < most], number[rank < most], times[rank < most]
+        return unique, ids, number, times
 
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
         if not rows.num_rows or not queries.num_rows:
             return FOUND.empty_table()
-        base, base_ids, base_of = distinct(rows.column("vec_id").to_numpy(), matrix(rows.column("embedding")), k + 1)
-        asked, asked_ids, asked_of = distinct(queries.column("vec_id").to_numpy(), matrix(queries.column("embedding")), None)
+        base, base_ids, base_of, base_times = distinct(rows.column("vec_id").to_numpy(), matrix(rows.column("embedding")), k + 1)
+        asked, asked_ids, asked_of, _ = distinct(queries.column("vec_id").to_numpy(), matrix(queries.column("embedding")), None)
         starts = np.searchsorted(base_of, np.arange(len(base) + 1))
+        # vectors and places that a query's own id takes up at most
+        names, vectors = np.unique(base_ids, return_counts=True)
+        places = k + int(vectors[np.isin(names, asked_ids)].max(initial=0))
         out = []
         for at in range(0, len(asked), 256):
             some = asked[at : at + 256]
             scores = some @ base.T
-            if len(base) > k + 1:
-                line = np.partition(scores, len(base) - k - 1, axis=1)[:, len(base) - k - 1]
+            if len(base) > places:
+                line = np.partition(scores, len(base) - places, axis=1)[:, len(base) - places]
                 q, d = np.nonzero(scores >= (line - 1e-9 * (1 + np.abs(line)))[:, None])
             else:
                 q, d = (x.ravel() for x in np.indices(scores.shape))
@@ -213,20 +219,25 @@ def rank_block(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
                 exact += some[q, c] * base[d, c]
             count = starts[d + 1] - starts[d]  # to the ids of each vector
             q, exact = np.repeat(q, count), np.repeat(exact, count)
-            ids = base_ids[np.repeat(starts[d] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())]
-            order = np.lexsort((ids, -exact, q))
-            q, exact, ids = q[order], exact[order], ids[order]
-            rank = np.arange(len(q)) - np.searchsorted(q, q)
-            keep = rank <= k
-            q, exact, ids = q[keep], exact[keep], ids[keep]
+            spots = np.repeat(starts[d] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
+            order = np.lexsort((base_ids[spots], -exact, q))
+            q, exact, spots = q[order], exact[order], spots[order]
+            keep = np.arange(len(q)) - np.searchsorted(q, q) < places
+            q, exact, spots = q[keep], exact[keep], spots[keep]
             bounds = np.searchsorted(q, np.arange(len(some) + 1))
             mine = (asked_of >= at) & (asked_of < at + len(some))
             own, of = asked_ids[mine], asked_of[mine] - at
             count = bounds[of + 1] - bounds[of]
             take = np.repeat(bounds[of] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-            query = np.repeat(own, count)
-            other = ids[take] != query
-            out.append((query[other], ids[take][other], exact[take][other]))
+            line = np.repeat(np.arange(len(own)), count)
+            other = base_ids[spots[take]] != own[line]
+            take, line = take[other], line[other]
+            # repeated rows of another id take a place each
+            times = np.minimum(base_times[spots[take]], k)
+            take, line = np.repeat(take, times), np.repeat(line, times)
+            first = np.arange(len(line)) - np.searchsorted(line, line) < k
+            take, line = take[first], line[first]
+            out.append((own[line], base_ids[spots[take]], exact[take]))
         return pa.table([pa.array(np.concatenate(x)) for x in zip(*out)], schema=FOUND)
 
     return run

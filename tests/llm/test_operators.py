@@ -165,6 +165,25 @@ def test_nearest(spark):
     assert ann.nearest(table.where("vec_id > 1000"), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("times", [1, 2, 25])
+def test_nearest_of_repeated_rows(times):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    rows = rng.normal(size=(60, 8))
+    rows[10:15] = rows[10]
+    ids = np.arange(60)
+    ids[20:24] = 20  # one id with several vectors
+    table = pa.table([pa.array(np.repeat(ids, times)), pa.array(np.repeat(rows, times, axis=0).tolist())], names=["vec_id", "embedding"])
+    asked = [0, 10, 12, 20]
+    queries = pa.table([pa.array(asked), pa.array(rows[asked].tolist())], names=["vec_id", "embedding"])
+    found = ann.rank_block(20)(table, queries).to_pylist()
+    for q in asked:
+        scores = [float(sum(a * b for a, b in zip(rows[j], rows[q]))) for j in range(60)]
+        want = sorted((-round(scores[j], 9), int(ids[j])) for j in range(60) for _ in range(times) if ids[j] != q)[:20]
+        assert sorted((-round(r["score"], 9), r["vec_id"]) for r in found if r["query_id"] == q) == want
+
+
 # --- WARC
 
 
