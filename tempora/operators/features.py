@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from .windows import ENTITY
 
+#: Rows of a group that one task holds.
+BLOCK_ROWS = 2048
+
 
 def dominant(rows: DataFrame, by: list[str], label: str = "label", weight: str = "energy") -> DataFrame:
     """The most frequent label of each group, then that of larger weight, then the first by name; its
@@ -81,23 +84,48 @@ def band_sums(vectors: DataFrame, vector: str, edges: list[int]) -> DataFrame:
     return vectors.withColumn("bands", F.array(*bands))
 
 
-def closest_in_group(vectors: DataFrame, by: str, key: str, vector: str) -> DataFrame:
-    """Largest dot product of each vector with another of its group, and that one's key, the least
-    on a tie; by matrix products over one group (a song's sections) at a time, in bounded pieces."""
-
-    def best(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(key)
-        rows, ids = np.stack(pdf[vector].to_numpy()).astype(float), pdf[key].to_numpy()
-        score, other = np.full(len(rows), np.nan), np.full(len(rows), -1)
-        if len(rows) > 1:
-            for at in range(0, len(rows), 1024):
-                part = rows[at : at + 1024] @ rows.T
-                part[np.arange(len(part)), np.arange(at, at + len(part))] = -np.inf
-                other[at : at + len(part)] = part.argmax(axis=1)
-                score[at : at + len(part)] = part.max(axis=1)
-        return pd.DataFrame({by: pdf[by], key: ids, "other": np.where(other >= 0, ids[other], -1), "score": score})
-
-    return vectors.groupBy(by).applyInPandas(best, f"`{by}` {vectors.schema[by].dataType.simpleString()}, `{key}` long, other long, score double")
+def closest_in_group(vectors: DataFrame, by: str, key: str, vector: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Largest dot product of each vector with another row of its group, and that one's key, the least
+    on a tie (-1 and NaN where there is none). Groups are dealt into blocks of rows and of queries by a
+    hash, and each pair of blocks is a task's: no group is held whole."""
+    names = {by: "_by", key: "_key", vector: "_vector"}
+    rows = vectors.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]).groupBy("_by", "_key", "_vector").agg(F.count("*").alias("_n")).withColumn("_mark", F.xxhash64("_vector"))
+    sizes = rows.groupBy("_by").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("_blocks")).withColumnRenamed("_by", "_of")
+    dealt = rows.join(sizes, F.col("_by").eqNullSafe(F.col("_of"))).withColumn("_own", F.pmod(F.xxhash64("_key", "_mark"), F.col("_blocks")).cast("int"))
+    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    columns = ["_by", "_key", "_vector", "_n", "_mark"]
+    left = dealt.select(*columns, F.col("_own").alias("_r"), F.col("_other").alias("_q")).groupBy("_by", "_r", "_q")
+    right = dealt.select(*columns, "_other", "_own").toDF(*columns, "_r", "_q").groupBy("_by", "_r", "_q")  # named anew, as both sides are one table
+
+    def best(base: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        other, score = np.full(len(asked), None, dtype=object), np.full(len(asked), None, dtype=object)
+        if len(base) and len(asked):
+            base = base.sort_values("_key")
+            rows, ids = np.stack(base["_vector"].to_numpy()).astype(float), base["_key"].to_numpy()
+            queries = np.stack(asked["_vector"].to_numpy()).astype(float)
+            # a row that stands there once is not its own neighbour
+            place = {(k, m): i for i, (k, m, n) in enumerate(zip(ids, base["_mark"], base["_n"])) if n == 1}
+            own = np.array([place.get(pair, -1) for pair in zip(asked["_key"], asked["_mark"])])
+            for at in range(0, len(queries), 256):
+                part = queries[at : at + 256] @ rows.T
+                mine = own[at : at + 256]
+                part[np.flatnonzero(mine >= 0), mine[mine >= 0]] = -np.inf
+                line = part.max(axis=1)
+                # sums in component order, so that equal vectors tie in whatever block they are
+                q, d = np.nonzero((part >= (line - 1e-9 * (1 + np.abs(line)))[:, None]) & (part > -np.inf))
+                exact = np.zeros(len(q))
+                for c in range(rows.shape[1]):
+                    exact += queries[at + q, c] * rows[d, c]
+                order = np.lexsort((d, -exact, q))
+                q, d, exact = q[order], d[order], exact[order]
+                first = np.flatnonzero(np.diff(q, prepend=-1))
+                other[at + q[first]], score[at + q[first]] = ids[d[first]], exact[first]
+        return pd.DataFrame({"_by": asked["_by"], "_key": asked["_key"], "_mark": asked["_mark"], "_n": asked["_n"], "_other": pd.array(other, dtype="Int64"), "_score": pd.array(score, dtype="Float64")})
+
+    met = left.cogroup(right).applyInPandas(best, f"_by {vectors.schema[by].dataType.simpleString()}, _key long, _mark long, _n long, _other long, _score double")
+    least = F.min(F.when(F.col("_score").isNotNull(), F.struct((-F.col("_score")).alias("s"), F.col("_other").alias("o")))).alias("_least")
+    found = met.groupBy("_by", "_key", "_mark", "_n").agg(least).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_n")))
+    return found.select(F.col("_by").alias(by), F.col("_key").alias(key), F.coalesce("_least.o", F.lit(-1).cast("long")).alias("other"), F.coalesce(-F.col("_least.s"), F.lit(float("nan"))).alias("score"))
 
 
 def energy_clusters(rows: DataFrame, values: list[str], k: int = 3, seed: int = 42) -> DataFrame:

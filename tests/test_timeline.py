@@ -182,6 +182,21 @@ def test_vectors_against_numpy(spark):
         assert not others or abs(r.score - max(others)) < 1e-9
 
 
+def test_closest_in_group_by_blocks(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i % 3 if i % 3 < 2 else None, i, [float(x) for x in rng.normal(size=6)]) for i in range(90)]
+    rows += [(0, 200, rows[0][2]), (0, 200, rows[0][2]), (1, 201, rows[1][2]), (9, 300, [1.0] * 6)]
+    table = spark.createDataFrame(rows, "label int, vec_id long, embedding array<double>")
+    want = []  # scores to nine places
+    for i, (by, key, vector) in enumerate(rows):
+        others = [(-sum(a * b for a, b in zip(v, vector)), k) for j, (g, k, v) in enumerate(rows) if j != i and g == by]
+        score, other = min(others) if others else (None, -1)
+        want.append((by, key, other, None if score is None else round(-score, 9)))
+    for size in (7, 1000):
+        got = [(r.label, r.vec_id, r.other, None if r.score != r.score else round(r.score, 9)) for r in features.closest_in_group(table, "label", "vec_id", "embedding", size).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
