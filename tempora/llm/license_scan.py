@@ -8,8 +8,12 @@ IDF of the positions that agree; where they reach a share of the template's weig
 key phrase of the template stands at its place, the file gets the template's label. Base phrases
 are found at every place, whatever their IDF.
 
+The texts are read once. That pass writes each file's licence words with their places, some eighth of
+all words; document frequencies, votes and phrases all come from that table.
+
 Defined cases: null text has no words; empty text neither; both give n_words 0, no labels and
-score 0. Repeated rows are scanned one by one.
+score 0. Repeated rows are scanned one by one. A very long text is one row of two arrays, as long as its
+licence words are many.
 """
 
 from __future__ import annotations
@@ -21,8 +25,10 @@ from pyspark.sql import functions as F
 
 from .common import lower_ascii, materialise, need_columns
 
-#: Words of a lower-cased text: runs of digits, a-z and anything beyond ASCII.
-TOKEN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between words, and the same without the blank. Words are runs of digits, letters and anything
+#: beyond ASCII.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+NO_BLANK = r"[\x00-\x1F\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 
 #: Fixed phrases and their labels.
 BASE = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
@@ -50,43 +56,62 @@ POSTINGS = 5
 
 
 def file_words(text: Column) -> Column:
-    return F.coalesce(F.regexp_extract_all(lower_ascii(text), F.lit(f"({TOKEN})"), F.lit(1)), F.array().cast("array<string>"))
+    """The words of a text, case kept. Anything between words becomes one blank, so that a plain split is left."""
+    spaced = F.trim(F.regexp_replace(text, f" *{NO_BLANK}{BETWEEN}*| {{2,}}", " "))
+    return F.when(spaced != "", F.split(spaced, " ")).otherwise(F.array().cast("array<string>"))
 
 
 def vocabulary() -> list[str]:
-    return sorted({w for _, passage, _ in TEMPLATES for w in passage.split()})
+    return sorted({w for _, passage, _ in TEMPLATES for w in passage.split()} | {w for phrase, _ in BASE for w in phrase.split()})
+
+
+def licence_words(docs: DataFrame, text: str) -> DataFrame:
+    """docs without the text, with _row, n_words, and the licence words of each file in order: _words
+    and their _places. The one pass over the texts; all that follows is narrow."""
+    vocab = vocabulary()
+    # lower() is quick but folds a few characters beyond A-Z too, so what it finds is looked at again
+    likely = F.filter(F.transform("_all", lambda w, i: F.when(F.lower(w).isin(vocab), F.struct(w.alias("word"), i.alias("place")))), lambda h: h.isNotNull())
+    sure = F.filter(F.transform("_likely", lambda h: F.struct(lower_ascii(h.word).alias("word"), h.place.alias("place"))), lambda h: h.word.isin(vocab))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c != text]
+    found = docs.withColumn("_all", file_words(F.col(f"`{text}`"))).withColumn("_likely", likely)
+    found = found.select(F.monotonically_increasing_id().alias("_row"), *kept, F.size("_all").cast("long").alias("n_words"), sure.alias("_hits"))
+    return found.withColumn("_words", F.col("_hits.word")).withColumn("_places", F.col("_hits.place")).drop("_hits")
 
 
 def word_idf(words: DataFrame, vocab: list[str]) -> dict[str, float]:
     """ln((1 + files) / (1 + files with the word)) of each licence word, over all rows of words
-    (column ``found``, an array of the licence words of a file). Bounded by the vocabulary."""
+    (column ``_words``, the licence words of a file). Bounded by the vocabulary."""
     total = words.count()
-    seen = {r.word: r.n for r in words.select(F.explode("found").alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()}
+    seen = {r.word: r.n for r in words.select(F.explode(F.array_distinct("_words")).alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()}
     return {w: math.log((1 + total) / (1 + seen.get(w, 0))) + 1e-6 for w in vocab}
 
 
-def phrase_starts(words: Column, hits: Column, phrase: list[str], anchor: int) -> Column:
-    """Starts of a phrase, tried at each hit of its anchor word. hits: structs (word, place)."""
-    first = F.transform(F.filter(hits, lambda h: h.word == phrase[anchor]), lambda h: h.place - anchor)
-    return F.filter(first, lambda s: (s >= 0) & (F.slice(words, F.greatest(s, F.lit(0)) + 1, len(phrase)) == F.array(*[F.lit(w) for w in phrase])))
+def phrase_starts(phrase: list[str], anchor: int) -> Column:
+    """Starts of a phrase in a file (_words, _places), tried at each hit of its anchor word. All words of
+    a phrase are licence words, so its places lie side by side in the two arrays."""
+    words, places, n = F.col("_words"), F.col("_places"), len(phrase)
+
+    def start(word: Column, i: Column) -> Column:
+        first = i - anchor
+        fits = (word == phrase[anchor]) & (first >= 0) & (F.slice(words, first + 1, n) == F.array(*[F.lit(w) for w in phrase]))
+        return F.when(fits & (F.get(places, first + (n - 1)) - F.get(places, first) == n - 1), F.get(places, first))
+
+    tried = F.filter(F.transform(words, start), lambda s: s.isNotNull())
+    return F.when(F.array_contains("_distinct", phrase[anchor]), tried).otherwise(F.array().cast("array<int>"))
 
 
 def scan_licenses(docs: DataFrame, text: str = "text", min_share: float = MIN_SHARE) -> DataFrame:
     """docs' columns but the text, with n_words, base_starts (array), base_labels (array), labels
     (array) and score. docs must have no columns of these names or starting with an underscore."""
-    vocab = vocabulary()
-    keep = [c for c in docs.columns if c != text]
-    # one pass over the texts: licence words with their places; all that follows is narrow
-    words = docs.withColumn("_words", file_words(F.col(text)))
-    found = F.filter(F.transform("_words", lambda w, i: F.when(w.isin(vocab), F.struct(w.alias("word"), i.alias("place")))), lambda h: h.isNotNull())
-    idf = word_idf(words.select(F.array_intersect("_words", F.array(*[F.lit(w) for w in vocab])).alias("found")), vocab)
+    keep = [F.col(f"`{c}`") for c in docs.columns if c != text]
+    words = materialise(licence_words(docs, text), "license-words")
+    idf = word_idf(words, vocabulary())
 
     def rarest(phrase: list[str]) -> int:
         return max(range(len(phrase)), key=lambda k: (idf[phrase[k]], phrase[k], -k))
 
     phrases = {p for p, _ in BASE} | {p for _, _, ps in TEMPLATES for p in ps}
     split = {p: p.split() for p in sorted(phrases)}
-    anchors = {p: rarest(ws) for p, ws in split.items()}
     rows, postings = [], {}
     for t, (label, passage, musts) in enumerate(TEMPLATES):
         ws = passage.split()
@@ -95,21 +120,19 @@ def scan_licenses(docs: DataFrame, text: str = "text", min_share: float = MIN_SH
         for k in picked:
             postings.setdefault(ws[k], []).append((t, k, idf[ws[k]] / weight))
         rows += [(t, label, p, next(i for i in range(len(ws)) if ws[i : i + len(split[p])] == split[p])) for p in musts]
-    need = sorted({split[p][a] for p, a in anchors.items()} | set(postings))
-    found = F.filter(F.transform("_words", lambda w, i: F.when(w.isin(need), F.struct(w.alias("word"), i.alias("place")))), lambda h: h.isNotNull())
-    starts = F.array(*[F.struct(F.lit(p).alias("phrase"), phrase_starts(F.col("_words"), F.col("_hits"), ws, anchors[p]).alias("at")) for p, ws in split.items()])
+    starts = F.array(*[F.struct(F.lit(p).alias("phrase"), phrase_starts(ws, rarest(ws)).alias("at")) for p, ws in split.items()])
     base = {p: label for p, label in BASE}
     at_base = F.flatten(F.transform(F.filter("_starts", lambda s: s.phrase.isin(list(base))), lambda s: s["at"]))
     base_label = F.create_map(*[F.lit(x) for pair in BASE for x in pair])
-    scanned = words.withColumn("_hits", found).withColumn("_starts", starts)
-    narrow = scanned.select(
-        F.monotonically_increasing_id().alias("_row"),
-        *[F.col(f"`{c}`") for c in keep],
-        F.size("_words").cast("long").alias("n_words"),
+    hits = F.filter(F.arrays_zip("_words", "_places"), lambda h: h["_words"].isin(sorted(postings)))
+    narrow = words.withColumn("_distinct", F.array_distinct("_words")).withColumn("_starts", starts).select(
+        "_row",
+        *keep,
+        "n_words",
         at_base.alias("base_starts"),
         F.array_distinct(F.transform(F.filter("_starts", lambda s: s.phrase.isin(list(base)) & (F.size(s["at"]) > 0)), lambda s: base_label[s.phrase])).alias("base_labels"),
         F.filter("_starts", lambda s: F.size(s["at"]) > 0).alias("_starts"),
-        "_hits",
+        hits.alias("_hits"),
     )
     narrow = materialise(narrow, "license-scan")
 
@@ -117,10 +140,11 @@ def scan_licenses(docs: DataFrame, text: str = "text", min_share: float = MIN_SH
     posting_map = F.create_map(
         *[x for w, ps in sorted(postings.items()) for x in (F.lit(w), F.array(*[F.struct(F.lit(t).alias("template"), F.lit(k).alias("position"), F.lit(share).alias("share")) for t, k, share in ps]))]
     )
+    # a label takes a key phrase, so files without any have no label to vote for
     votes = (
-        narrow.where(F.size("_hits") > 0)
-        .select("_row", "_starts", F.explode(F.filter("_hits", lambda h: h.word.isin(sorted(postings)))).alias("_h"))
-        .select("_row", "_starts", F.col("_h.place").alias("_place"), F.explode(posting_map[F.col("_h.word")]).alias("_p"))
+        narrow.where(F.size("_starts") > 0)
+        .select("_row", "_starts", F.explode("_hits").alias("_h"))
+        .select("_row", "_starts", F.col("_h._places").alias("_place"), F.explode(posting_map[F.col("_h._words")]).alias("_p"))
         .groupBy("_row", F.col("_p.template").alias("_template"), (F.col("_place") - F.col("_p.position")).alias("_at"))
         .agg(F.sum("_p.share").alias("_share"), F.first("_starts").alias("_starts"))
         .where(F.col("_share") >= min_share)
