@@ -6,7 +6,11 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +18,24 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 #: Words of a text: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes of text and binary that a task's Python turns into objects at once.
+BATCH_BYTES = 4 << 20
+
+
+def by_bytes(batches: Iterator[pa.RecordBatch], most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``most`` bytes of text and binary, or one row where a row is larger.
+    Spark bounds a batch by spark.sql.execution.arrow.maxBytesPerBatch, which leaves it large once it is
+    Python objects."""
+    for batch in batches:
+        sizes = np.zeros(batch.num_rows, dtype=np.int64)
+        for column in batch.columns:
+            if pa.types.is_string(column.type) or pa.types.is_binary(column.type) or pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type):
+                sizes += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // most)) + 1
+        edges = [0, *cuts.tolist(), batch.num_rows]
+        for start, end in zip(edges, edges[1:]):
+            if start < end:
+                yield batch.slice(start, end - start)
 
 
 def lower_ascii(text: Column) -> Column:

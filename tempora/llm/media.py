@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from .common import materialise, need_columns, new_path
+from .common import by_bytes, materialise, need_columns, new_path
 from .files import AtomicFile, at
 
 WIDTH = 64
@@ -115,7 +115,7 @@ def write_media(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, number, done = None, 0, []
-        for batch in batches:
+        for batch in by_bytes(batches):
             for doc_id, value in zip(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (key, text)]):
                 if writer is None:
                     writer = ArchiveWriter(f"{folder}/part-{TaskContext.get().partitionId():06d}-{number:04d}.tar")
@@ -256,7 +256,7 @@ def media_features(media: DataFrame) -> DataFrame:
     """Decode members and compute their features; member names carry the doc_id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches):
             rows = []
             for name, stored in zip(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("member", "media")]):
                 payload, n_bytes = decode_png(stored)

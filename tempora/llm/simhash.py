@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, need_columns, partitions_for
+from .common import by_bytes, materialise, need_columns, partitions_for
 from .components import connected_components
 
 SEED = 42
@@ -97,7 +97,7 @@ def simhash(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",), text: str = "t
     ddl = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields if f.name in keys], "fp binary"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches):
             prints = [fingerprint(shingle_hashes(t, words), lanes) for t in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in range(batch.num_columns - 1)], pa.array(prints, pa.binary())], names=[*batch.schema.names[:-1], "fp"])
 

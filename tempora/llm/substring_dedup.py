@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import forget, materialise, need_columns, partitions_for
+from .common import by_bytes, forget, materialise, need_columns, partitions_for
 from .suffix_array import suffix_array
 
 SPAN = 400
@@ -102,7 +102,7 @@ def anchor_rows(texts: DataFrame, span: int, gram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()
-        for batch in batches:
+        for batch in by_bytes(batches):
             out, keys, rows = [], batch.column(0), []
             for i, value in enumerate(batch.column(1).to_pylist()):
                 data = np.frombuffer((value or "").encode(), dtype=np.uint8)
@@ -130,7 +130,7 @@ def context_rows(texts: DataFrame, span: int) -> DataFrame:
         sent: set[tuple[int, int]] = set()
         names = ["anchor", "context", "key", "first", "length", "shift", "bytes"]
         kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-        for batch in batches:
+        for batch in by_bytes(batches):
             rows, held = [], 0
             for key, text, anchors in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 data = text.encode()
@@ -232,7 +232,7 @@ def cover_groups(contexts: DataFrame, span: int) -> DataFrame:
                 return [(anchor, marks[0], 0, len(data))] if count > 1 else []
             return [(anchor, marks[c], start, end) for c, spans in enumerate(repeated_windows(held, span)) for start, end in ([(0, len(held[c][0]))] if held[c][2] > 1 else spans)]
 
-        for batch in batches:
+        for batch in by_bytes(batches):
             rows = []
             for own, mark, shift, count, data in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 if own != anchor:
@@ -255,7 +255,7 @@ def cover_windows(contexts: DataFrame, span: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = Grams(2), Grams(3)
-        for batch in batches:
+        for batch in by_bytes(batches):
             for own, mark, count, data in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3, 4))):
                 raw = np.frombuffer(data, dtype=np.uint8)
                 h1, h2 = one(raw, span), two(raw, span)
@@ -334,7 +334,7 @@ def cut_texts(texts: DataFrame, spans: DataFrame, characters: bool = False) -> D
     ``characters``, only whole characters are cut, so that kept is valid UTF-8."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_bytes(batches):
             rows = []
             for key, text, found in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 data = text.encode()

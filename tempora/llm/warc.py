@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import delete_path, materialise, need_columns, new_path, partitions_for
+from .common import by_bytes, delete_path, materialise, need_columns, new_path, partitions_for
 from .files import AtomicFile, at
 
 #: Payloads of fewer bytes are always stored.
@@ -89,7 +89,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file, squeeze, records = None, None, 0
         name = f"{folder}/part-{TaskContext.get().partitionId():06d}.warc.gz"
-        for batch in batches:
+        for batch in by_bytes(batches):
             for page_id, url, html, refers_to in zip(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("page_id", "url", "html", "refers_to")]):
                 if file is None:
                     file, squeeze = AtomicFile(name), zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
@@ -197,7 +197,7 @@ def read_archives(index: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, stream = None, None
-        for batch in batches:
+        for batch in by_bytes(batches):
             rows = []
             for archive, offset, length in zip(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("archive", "offset", "length")]):
                 if archive != name:
