@@ -4,8 +4,8 @@ Each document becomes token ids plus an end id. Whole sequences' worth of ids ar
 stand alone; the rest is an item with a vector of demands (tokens, segments, loss-bearing tokens).
 Items are placed by the dot-product heuristic: of the items that fit an open bin, the one whose
 demands, each relative to its limit, have the largest dot product with what is left of the bin.
-Items are kept in size classes, so that one step looks at one candidate of each class. Where
-no item fits and enough room is left, the next item is cut to fill it.
+Every item of the pool is a candidate at each step. Where none fits and enough room is left, the
+shortest of the longer items is cut to fill it.
 
 Packing is done within a Spark partition over a pool of bounded size, in one pass over the scan:
 no shuffle, nothing gathered. At the end of a partition at most one sequence stays part-filled,
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import need_columns
+from .common import by_bytes, need_columns
 
 SEQUENCE_TOKENS = 1024
 #: Limits of a sequence besides its tokens: segments, and loss-bearing tokens.
@@ -47,7 +47,8 @@ class Encoder:
 
     Where the file's merges are in the order of its ids, Latin text is encoded by tiktoken over the
     file's own vocabulary, which gives the same ids several times faster. Texts with characters
-    beyond the Latin blocks take the tokenizers library, so that its Unicode tables decide.
+    beyond the Latin blocks take the tokenizers library, so that its Unicode tables decide, and so do
+    texts that hold one of the file's added tokens, which that library gives an id of its own.
     """
 
     #: The pre-token pattern of this kind of file. Fixed value.
@@ -58,8 +59,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.fast = self.ranked(path)
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = re.compile("|".join(re.escape(t.content) for t in added)) if added else None
+        #: Added tokens that may not be parted at a blank.
+        self.blanks = any(t.lstrip or t.rstrip or any(c.isspace() for c in t.content) for t in added)
 
     def ranked(self, path: str):
         """A tiktoken encoding of the file's vocabulary; None where the file is of another kind."""
@@ -85,12 +89,12 @@ class Encoder:
         return tiktoken.Encoding("file", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def stretch(self, text: str) -> np.ndarray:
-        if self.fast and (text.isascii() or not self.BEYOND_LATIN.search(text)):
+        if self.fast and (text.isascii() or not self.BEYOND_LATIN.search(text)) and not (self.added and self.added.search(text)):
             return np.array(self.fast(text), dtype=np.uint32)
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
     def __call__(self, text: str) -> np.ndarray:
-        if len(text) <= STRETCH:
+        if len(text) <= STRETCH or self.blanks and self.added.search(text):
             return self.stretch(text)
         out, at = [], 0
         while at < len(text):
@@ -104,55 +108,70 @@ class Encoder:
 
 class Packer:
     """Places items (key, start, length) into bins of the given limits; yields closed bins as
-    lists of (key, start, length, offset)."""
+    lists of (key, start, length, offset). The leading tokens of an item may bear no loss."""
 
     def __init__(self, tokens: int, segments: int, loss: int, pool: int = POOL, min_cut: int = MIN_CUT):
         self.limits, self.pool, self.min_cut = (tokens, segments, loss), pool, min_cut
-        self.classes: list[list[tuple]] = [[] for _ in range(tokens.bit_length() + 1)]
-        self.held = 0
+        self.items: list[tuple] = []  # key, start
+        self.length, self.loss = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+
+    @property
+    def held(self) -> int:
+        return len(self.items)
 
     def add(self, key, start: int, length: int, loss: int) -> None:
-        self.classes[length.bit_length()].append((key, start, length, loss))
-        self.held += 1
-
-    def best(self, left: tuple[int, int, int]):
-        """The class whose last item fits and has the largest dot product with what is left."""
-        found, most = -1, -1.0
-        (cap_t, cap_s, cap_l), (t, s, loss) = self.limits, left
-        for c in range(min(len(self.classes) - 1, t.bit_length()), 0, -1):
-            items = self.classes[c]
-            for back in range(1, min(4, len(items)) + 1):  # a few of each class
-                item = items[-back]
-                if item[2] <= t and item[3] <= loss:
-                    dot = item[2] * t / cap_t**2 + s / cap_s**2 + item[3] * loss / cap_l**2
-                    if dot > most:
-                        most, found = dot, (c, back)
-        return found
+        n = len(self.items)
+        if n == len(self.length):
+            self.length, self.loss = (np.concatenate([x, np.zeros(n + 64, dtype=np.int64)]) for x in (self.length, self.loss))
+        self.items.append((key, start))
+        self.length[n], self.loss[n] = length, loss
+
+    def take(self, i: int) -> tuple:
+        """Item i, out of the pool; the last item moves to its place."""
+        key, start = self.items[i]
+        length, loss = int(self.length[i]), int(self.loss[i])
+        last = self.items.pop()
+        if i < len(self.items):
+            self.items[i], self.length[i], self.loss[i] = last, self.length[len(self.items)], self.loss[len(self.items)]
+        return key, start, length, loss
+
+    def best(self, left: tuple[int, int, int]) -> int:
+        """Of all items that fit, the one whose relative demands have the largest dot product with
+        what is left of the limits, the first of equals; -1 if none fits."""
+        n = len(self.items)
+        length, loss = self.length[:n], self.loss[:n]
+        (cap_t, cap_s, cap_l), (t, s, l) = self.limits, left
+        dot = np.where((length <= t) & (loss <= l), length * (t / cap_t**2) + loss * (l / cap_l**2) + s / cap_s**2, -1.0)
+        i = int(dot.argmax())
+        return i if dot[i] >= 0 else -1
+
+    def cut(self, left: tuple[int, int, int]) -> tuple | None:
+        """The first piece, as large as fits, of the shortest item that can fill what is left."""
+        n = len(self.items)
+        length, loss = self.length[:n], self.loss[:n]
+        room = np.minimum(left[0], length - loss + left[2])
+        wide = np.where((room >= self.min_cut) & (length > room), length, np.iinfo(np.int64).max)
+        i = int(wide.argmin())
+        if wide[i] == np.iinfo(np.int64).max:
+            return None
+        size = int(room[i])
+        key, start, length, loss = self.take(i)
+        bears = max(0, size - (length - loss))
+        self.add(key, start + size, length - size, loss - bears)
+        return key, start, size, bears
 
     def pack(self, until: int) -> Iterator[list[tuple]]:
         """Closes bins as long as more than ``until`` items are held."""
         while self.held > until:
             bin_, used = [], 0
             left = self.limits
-            while left[0] > 0 and left[1] > 0 and left[2] > 0 and self.held:
-                pick = self.best(left)
-                if pick != -1:
-                    item = self.classes[pick[0]].pop(-pick[1])
-                    self.held -= 1
-                    length, loss = item[2], item[3]
-                elif min(left[0], left[2]) >= self.min_cut:  # cut the next larger item
-                    c = next((c for c in range(1, len(self.classes)) if self.classes[c] and self.classes[c][-1][2] > min(left[0], left[2])), None)
-                    if c is None:
-                        break
-                    item = self.classes[c].pop()
-                    self.held -= 1
-                    length = min(left[0], left[2], item[2])
-                    loss = min(item[3], length)
-                    if length < item[2]:
-                        self.add(item[0], item[1] + length, item[2] - length, max(0, item[3] - loss))
-                else:
+            while left[0] > 0 and left[1] > 0 and self.held:
+                i = self.best(left)
+                item = self.take(i) if i >= 0 else self.cut(left)
+                if item is None:
                     break
-                bin_.append((item[0], item[1], length, used))
+                key, start, length, loss = item
+                bin_.append((key, start, length, used))
                 used += length
                 left = (left[0] - length, left[1] - 1, left[2] - loss)
             yield bin_
@@ -213,7 +232,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, keys: list[str], text: str =
             rows = []
             return batch
 
-        for batch in batches:
+        for batch in by_bytes(batches):
             columns = [batch.column(batch.schema.get_field_index(k)).to_pylist() for k in keys]
             texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
             skip = batch.column(batch.schema.get_field_index(masked)).to_pylist() if masked else None
@@ -226,8 +245,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, keys: list[str], text: str =
                 pending[count] = (tuple(c[i] for c in columns), ids, len(ids))
                 free = min(len(ids), (skip[i] or 0) if skip else 0)
                 start = 0
-                whole = min(tokens, loss)
-                while len(ids) - start >= whole:
+                while len(ids) - start >= (whole := min(tokens, max(0, free - start) + loss)):
                     put([[(count, start, whole, 0)]])
                     start += whole
                 if start < len(ids):

@@ -285,10 +285,10 @@ def test_packing(spark):
     from tokenizers import Tokenizer
 
     path = packing.default_tokenizer()
-    texts = [prose(i, n) for i, n in enumerate([1, 5, 30, 400, 3000, 7, 90, 12, 200, 800])] + [None, "", " ", "it's  a\n\ttest 's 中文 <|endoftext|>", "x" * 70_000, "é" * 3000]
+    texts = [prose(i, n) for i, n in enumerate([1, 5, 30, 400, 3000, 7, 90, 12, 200, 800])] + [None, "", " ", "it's  a\n\ttest 's 中文 <|endoftext|>", "a <|endoftext|> <|endoftext|>b<|endo", "x" * 70_000, "é" * 3000]
+    texts += [(prose(50, 30_000)[: packing.STRETCH - k] + " <|endoftext|> " + prose(51, 30_000)) for k in (0, 5, 14, 15, 16)]  # across the border of a stretch
     rows = packing.pack_documents(documents(spark, texts).withColumnRenamed("lang", "start").repartition(2), path, ["doc_id"]).collect()
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     fill = Counter()
     for i, text in enumerate(texts):
         ids = np.array(plain.encode(text or "", add_special_tokens=False).ids + [0], dtype="<u4")
@@ -310,15 +310,46 @@ def test_packing(spark):
 def test_packer_keeps_every_limit():
     rng = random.Random(4)
     packer = packing.Packer(100, 4, 60, min_cut=5)
-    items = {k: (rng.randrange(1, 60), rng.random()) for k in range(300)}
-    for k, (n, share) in items.items():
-        packer.add(k, 0, n, int(n * share))
-    placed = Counter()
+    items = {k: (n := rng.randrange(1, 60) if k % 3 else rng.randrange(1, 12), int(n * rng.random())) for k in range(300)}
+    for k, (n, loss) in items.items():
+        packer.add(k, 0, n, loss)
+    pieces, full = [], Counter()
     for bin_ in packer.pack(0):
-        assert sum(p[2] for p in bin_) <= 100 and len(bin_) <= 4
-        for key, _, length, _ in bin_:
-            placed[key] += length
-    assert placed == {k: n for k, (n, _) in items.items()}
+        tokens = sum(p[2] for p in bin_)
+        loss = sum(max(0, start + length - max(start, items[k][0] - items[k][1])) for k, start, length, _ in bin_)
+        assert tokens <= 100 and len(bin_) <= 4 and loss <= 60
+        assert [p[3] for p in bin_] == [sum(p[2] for p in bin_[:i]) for i in range(len(bin_))]
+        full.update({"tokens": tokens == 100, "segments": len(bin_) == 4, "loss": loss == 60})
+        pieces += bin_
+    assert min(full[x] for x in ("tokens", "segments", "loss")) > 0  # each of the limits closes bins
+    for k, (n, _) in items.items():
+        at = 0
+        for _, start, length, _ in sorted(p for p in pieces if p[0] == k):
+            assert start == at
+            at += length
+        assert at == n
+
+
+def test_packer_takes_the_largest_dot_product():
+    packer = packing.Packer(100, 8, 50)
+    for k, (n, loss) in enumerate([(40, 1), (38, 38), (60, 2), (30, 30)]):
+        packer.add(k, 0, n, loss)
+    assert packer.best((100, 8, 50)) == 1  # the loss it uses up counts as much as its tokens
+    assert packer.best((100, 8, 20)) == 2
+    assert packer.best((35, 8, 20)) == -1
+
+
+def test_packing_masked_rows(spark):
+    path = packing.default_tokenizer()
+    docs = spark.createDataFrame([(i, prose(i, 40 + i), 25 * (i % 4)) for i in range(60)] + [(99, prose(99, 4000), 3000)], "doc_id long, text string, prompt int")
+    rows = packing.pack_documents(docs.repartition(1), path, ["doc_id", "prompt"], tokens=256, segments=3, loss=128, masked="prompt").collect()
+    used, bears, covered = Counter(), Counter(), Counter()
+    for r in rows:
+        used[r.sequence_id] += r.length
+        bears[r.sequence_id] += max(0, r.start + r.length - max(r.start, r.prompt))
+        covered[r.doc_id] += r.length
+    assert max(used.values()) <= 256 and max(Counter(r.sequence_id for r in rows).values()) <= 3 and max(bears.values()) <= 128
+    assert {r.doc_id: r.doc_tokens for r in rows} == covered
 
 
 # --- media
