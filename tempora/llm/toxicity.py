@@ -6,11 +6,11 @@ maximisation on votes alone) estimates how often each voter fires under either l
 remain correlated given the label share their weight. A linear classifier is trained on the
 posterior labels, and scores every whole text.
 
-The training sample is bounded by ``FIT_ROWS`` labelled rows, spread by a hash of doc_id, and
-holds rows of the training folds only (crc32 of doc_id as text, mod 4, not 2). Mining and fitting
+The training sample has at most ``FIT_ROWS`` labelled doc_ids, the first by a hash, with one text each (the
+least, where a doc_id repeats), and holds rows of the training folds only (crc32 of doc_id as text, mod 4, not 2). Mining and fitting
 see nothing else. Votes of the sample, a few hundred bits a row, are all that reaches the driver.
 
-Defined cases: null and empty texts fire no voter and get the classifier's base score. Without
+Defined cases: null and empty texts fire no voter and get the classifier's base score. A very long text is one Python object of its task, whole. Without
 usable labels the seed lexicon and patterns vote alone. Repeated rows are scored alike. Rows of
 labels without a document, or with a null label, are ignored.
 """
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, need_columns
+from .common import by_bytes, materialise, need_columns
 
 #: Labelled rows used to mine voters and fit the models.
 FIT_ROWS = 16_000
@@ -169,7 +169,7 @@ def fire_all(rows: DataFrame, voters: Voters, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         patterns = [re.compile(p) for _, p in PATTERNS]
-        for batch in batches:
+        for batch in by_bytes(batches):
             fired = [voters.fire(t, patterns) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in fired], pa.list_(pa.int32())), pa.array([h for _, h in fired], pa.int32()), batch.column(1)], names=["fired", "hits", "toxic"])
 
@@ -179,18 +179,20 @@ def fire_all(rows: DataFrame, voters: Voters, text: str = "text") -> DataFrame:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", fit_rows: int = FIT_ROWS) -> ToxicityModel:
     """Fit on labelled rows of the training folds: docs (doc_id, text), labels (doc_id, toxic)."""
     usable = need_columns(labels, "doc_id", "toxic").where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != HELD_OUT_FOLD))
-    found = usable.count()
-    if found > fit_rows:
-        usable = usable.where(F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 30)) < int((1 << 30) * (fit_rows / found)))
-    sample = need_columns(docs, "doc_id", text).join(usable.withColumnRenamed("doc_id", "_labelled"), F.col("doc_id") == F.col("_labelled")).select(text, F.col("toxic").cast("int").alias("toxic"))
-    # near copies are one piece of evidence: rows that share their least sentence hash count once
+    # one row a doc_id, the first fit_rows of them by a hash
+    chosen = usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64(F.lit("fit"), "doc_id"), "doc_id").limit(fit_rows)
+    chosen = materialise(chosen.withColumnRenamed("doc_id", "_labelled"), "toxicity-labels")
+    held = need_columns(docs, "doc_id", text).join(chosen, F.col("doc_id") == F.col("_labelled")).groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min(text).alias(text))
+    # near copies are one piece of evidence: rows that share their least sentence hash count once, by their least text
     sentences = F.filter(F.split(text, r"[.\n]"), lambda x: F.length(x) >= 30)
     sketch = F.coalesce(F.array_min(F.transform(sentences, lambda x: F.xxhash64(x))), F.xxhash64(text))
-    sample = sample.withColumn("_sketch", sketch).dropDuplicates(["_sketch", "toxic"]).drop("_sketch")
+    sample = held.withColumn("_sketch", sketch).groupBy("_sketch", "toxic").agg(F.min(text).alias(text)).select(text, "toxic")
     sample = materialise(sample, "toxicity-sample")
     voters = mine_voters(sample, text)
     prior = float(sample.agg(F.avg("toxic")).first()[0] or 0.05)
     seen = fire_all(sample, voters, text).toPandas()
+    # in an order of their own, so that sums do not depend on how Spark dealt the rows out
+    seen = seen.iloc[sorted(range(len(seen)), key=lambda i: (list(seen["fired"].iat[i]), seen["hits"].iat[i], seen["toxic"].iat[i]))].reset_index(drop=True)
     votes = np.zeros((len(seen), voters.size))
     for i, fired in enumerate(seen["fired"]):
         votes[i, np.asarray(fired, dtype=int)] = 1
@@ -212,7 +214,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", ke
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         patterns = [re.compile(p) for _, p in PATTERNS]
-        for batch in batches:
+        for batch in by_bytes(batches):
             scores, hits = [], []
             for value in batch.column(batch.num_columns - 1).to_pylist():
                 fired, n = model.voters.fire(value, patterns)
