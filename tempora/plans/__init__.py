@@ -1,4 +1,4 @@
 """Registered queries and their SQL."""
 
-from . import contract_queries, event_queries, feature_queries, timeline_queries, track_queries  # noqa: F401
+from . import contract_queries, event_queries, feature_queries, refine_queries, timeline_queries, track_queries  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import beat_features, joins, rule_events, windows
 from ..operators.beat_features import FEATURES, Tracks
+from ..sources.tables import artifact
 from .registry import HOUR, TL, query
 from .timeline_queries import E, rows_of
 
@@ -98,7 +99,8 @@ DERIVED_COLUMNS = ["energy_delta", "density_delta", "vocal_stem_delta", "vocal_f
 
 
 def derived_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return beat_features.derived(beat_features.scored(wide_rows(spark, sf_dir)))
+    """The feature layer, an artifact that all later steps read."""
+    return artifact(beat_features.derived(beat_features.scored(wide_rows(spark, sf_dir))), "features")
 
 
 @query("derived_features", f"WITH {DERIVED} SELECT event_id, {', '.join([f'z_{f}' for f in FEATURES] + DERIVED_COLUMNS)} FROM d")
@@ -123,7 +125,7 @@ def rule_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     sections = tracks_of(beats_of(spark, sf_dir)).sections
     placed = joins.containing(rows, sections, fallback_last=True).withColumn("start_section", F.col("inside.section")).drop("inside")
     count, score = F.count("*").over(Window.partitionBy(E)), F.col("z_energy_score")
-    return placed.withColumn("cluster", F.when(count <= 10, 2).when(score < -400_000, 0).when(score < 600_000, 1).otherwise(2))
+    return artifact(placed.withColumn("cluster", F.when(count <= 10, 2).when(score < -400_000, 0).when(score < 600_000, 1).otherwise(2)), "rule-rows")
 
 
 @query("rule_thresholds", f"WITH {THRESHOLDS} SELECT entity_id, {', '.join(f'th_{n}' for n in rule_events.DYNAMIC)} FROM th")
@@ -177,4 +179,4 @@ both_ AS (SELECT cards.*, coalesce(has_build, false) AS has_build, coalesce(has_
 )
 def section_candidates(spark, sf_dir):
     rows = rule_rows(spark, sf_dir)
-    return rule_events.section_candidates(rows, rule_events.rule_candidates(rows, release_within=2 * DAY))
+    return rule_events.section_candidates(rows, artifact(rule_events.rule_candidates(rows, release_within=2 * DAY), "rule-candidates"))

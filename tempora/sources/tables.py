@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
+import tempfile
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -45,6 +51,28 @@ def entity_of(path: Column) -> Column:
     return F.regexp_extract(F.url_decode(path), r"([^/]+?)(?:\.[^./]*)?$", 1)
 
 
+def artifact_dir(spark: SparkSession) -> str:
+    """The folder of artifact tables: spark.checkpoint.dir, which all executors share. Where that is unset, a
+    temporary one, but only in local mode, where there is one machine."""
+    sc = spark.sparkContext
+    found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not found:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        found = tempfile.mkdtemp(prefix="tempora-")
+        atexit.register(shutil.rmtree, found, ignore_errors=True)
+        sc.setCheckpointDir(found)
+    return found.rstrip("/")
+
+
+def artifact(df: DataFrame, name: str) -> DataFrame:
+    """df written as a table of its own and read back, so that what several steps read is computed once, and a
+    lost executor costs nothing before it."""
+    path = f"{artifact_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def discover(spark: SparkSession, path: str, suffix: str) -> DataFrame:
     """Files of a suffix, in any case, in path order: path, entity_id, length."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
