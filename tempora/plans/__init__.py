@@ -1,4 +1,4 @@
 """Registered queries and their SQL."""
 
-from . import contract_queries, event_queries, feature_queries, refine_queries, section_queries, timeline_queries, track_queries  # noqa: F401
+from . import card_queries, contract_queries, event_queries, feature_queries, refine_queries, section_queries, timeline_queries, track_queries  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401
