@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import joins
-from .rule_events import clamped, share
+from .rule_events import HALF_UP, clamped, share
 from .rules import pick_variant
 from .windows import ENTITY
 
@@ -60,8 +60,8 @@ def refine_candidates(events: DataFrame, rows: DataFrame, width: int, after: int
         "atmospheric_plateau": above(0.6 - c("onset")) * 0.32 + above(0.55 - c("bass")) * 0.22 + above(0.5 - c("score")) * 0.18 + F.least(F.lit(1.0), length / 16.0) * 0.18 + named("ambient", "breath") * 0.1,
         "no_drop_plateau": F.least(F.lit(1.0), length / 12.0) * 0.2 + c("score") * 0.15 + 0.3,
     }
-    scored = pick_variant(followed, {n: F.round(one(s), 6) for n, s in drops.items()}, 0.62, 0.05).withColumnsRenamed({"variant": "_drop", "top_score": "_drop_top"})
-    scored = pick_variant(scored, {n: F.round(one(s), 6) for n, s in plateaus.items()}, 0.55, 0.04).withColumnsRenamed({"variant": "_plateau", "top_score": "_plateau_top"})
+    scored = pick_variant(followed, {n: F.round(one(s) + HALF_UP, 6) for n, s in drops.items()}, 0.62, 0.05).withColumnsRenamed({"variant": "_drop", "top_score": "_drop_top"})
+    scored = pick_variant(scored, {n: F.round(one(s) + HALF_UP, 6) for n, s in plateaus.items()}, 0.55, 0.04).withColumnsRenamed({"variant": "_plateau", "top_score": "_plateau_top"})
     kind, rise, sure = c("type"), c("next_rise"), c("confidence")
     reset = kind.isin("breakdown", "pause_break") & (rise >= RESET_RISE)
     refined = F.when(kind == "drop", F.coalesce("_drop", kind)).when(kind == "no_drop_plateau", F.coalesce("_plateau", kind)).when(reset, "energy_reset").otherwise(kind)
@@ -71,7 +71,7 @@ def refine_candidates(events: DataFrame, rows: DataFrame, width: int, after: int
         .when(reset, F.least(F.lit(1.0), F.greatest(sure, rise * 0.5 + 0.55)))
         .otherwise(sure)
     )
-    return scored.withColumns({"refined": F.when((c("n") > 0) | ~kind.isin("drop", "no_drop_plateau"), refined).otherwise(kind), "refined_confidence": F.round(moved, 6)})
+    return scored.withColumns({"refined": F.when((c("n") > 0) | ~kind.isin("drop", "no_drop_plateau"), refined).otherwise(kind), "refined_confidence": F.round(moved + HALF_UP, 6)})
 
 
 def intensity_of(given: Column, accent: Column, energy: Column, bass: Column, n: Column, confidence: Column) -> Column:

@@ -53,9 +53,14 @@ def with_thresholds(rows: DataFrame) -> DataFrame:
     return rows.withColumns(columns).withColumns(bounds).drop(*columns)
 
 
+#: Added before rounding to six digits: products of scores and weights that are halves in decimals are so only to
+#: the last bit.
+HALF_UP = 1e-9
+
+
 def clamped(x: Column) -> Column:
-    """Within 0..1, to six digits."""
-    return F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), x)), 6)
+    """Within 0..1, to six digits, halves up."""
+    return F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), x)) + HALF_UP, 6)
 
 
 def share(x: Column) -> Column:

@@ -135,13 +135,13 @@ def rule_thresholds(spark, sf_dir):
 
 
 def _islands(kind: str, when: str, a: str, b: str, confidence: str, intensity: str) -> str:
-    return f"""SELECT entity_id, '{kind}' AS type, start_t, end_t, first_idx, last_idx, section, round(greatest(0::DOUBLE, least(1::DOUBLE, {confidence})), 6) AS confidence, round(greatest(0::DOUBLE, least(1::DOUBLE, {intensity})), 6) AS intensity FROM (
+    return f"""SELECT entity_id, '{kind}' AS type, start_t, end_t, first_idx, last_idx, section, round(greatest(0::DOUBLE, least(1::DOUBLE, {confidence})) + 1e-9::DOUBLE, 6) AS confidence, round(greatest(0::DOUBLE, least(1::DOUBLE, {intensity})) + 1e-9::DOUBLE, 6) AS intensity FROM (
 SELECT entity_id, min(t) AS start_t, max(end_t) AS end_t, min(idx) AS first_idx, max(idx) AS last_idx, arg_min(start_section, idx) AS section, round(sum({a})::DOUBLE / count(*)) AS a, round(sum({b})::DOUBLE / count(*)) AS b
 FROM (SELECT * EXCLUDE (section), section AS own, idx - row_number() OVER (PARTITION BY entity_id, section ORDER BY idx) AS g FROM f WHERE {when}) GROUP BY entity_id, own, g)"""
 
 
 def _rows(kind: str, when: str, confidence: str, intensity: str) -> str:
-    return f"SELECT entity_id, '{kind}' AS type, t AS start_t, end_t, idx AS first_idx, idx AS last_idx, start_section AS section, round(greatest(0::DOUBLE, least(1::DOUBLE, {confidence})), 6) AS confidence, round(greatest(0::DOUBLE, least(1::DOUBLE, {intensity})), 6) AS intensity FROM f WHERE {when}"
+    return f"SELECT entity_id, '{kind}' AS type, t AS start_t, end_t, idx AS first_idx, idx AS last_idx, start_section AS section, round(greatest(0::DOUBLE, least(1::DOUBLE, {confidence})) + 1e-9::DOUBLE, 6) AS confidence, round(greatest(0::DOUBLE, least(1::DOUBLE, {intensity})) + 1e-9::DOUBLE, 6) AS intensity FROM f WHERE {when}"
 
 
 _U = "/ 1000000::DOUBLE"
@@ -175,7 +175,7 @@ _STATES = [
   min(t) AS start_t, max(end_t) AS end_t, min(idx) AS first_idx, max(idx) AS last_idx, max(th_groove_energy) AS th_groove_energy, max(th_atmo_energy) AS th_atmo_energy, max(th_hold_tension) AS th_hold_tension FROM f WHERE section IS NOT NULL GROUP BY 1, 2),
 flags AS (SELECT entity_id, section, max(type = 'build') AS has_build, max(type = 'drop') AS has_drop FROM events_ WHERE section IS NOT NULL GROUP BY 1, 2),
 both_ AS (SELECT cards.*, coalesce(has_build, false) AS has_build, coalesce(has_drop, false) AS has_drop FROM cards LEFT JOIN flags USING (entity_id, section))
-{' UNION ALL '.join(f"SELECT entity_id, '{kind}' AS type, start_t, end_t, first_idx, last_idx, section, round(greatest(0::DOUBLE, least(1::DOUBLE, {c})), 6) AS confidence, round(greatest(0::DOUBLE, least(1::DOUBLE, {i})), 6) AS intensity FROM both_ WHERE {when}" for kind, when, c, i in _STATES)}""",
+{' UNION ALL '.join(f"SELECT entity_id, '{kind}' AS type, start_t, end_t, first_idx, last_idx, section, round(greatest(0::DOUBLE, least(1::DOUBLE, {c})) + 1e-9::DOUBLE, 6) AS confidence, round(greatest(0::DOUBLE, least(1::DOUBLE, {i})) + 1e-9::DOUBLE, 6) AS intensity FROM both_ WHERE {when}" for kind, when, c, i in _STATES)}""",
 )
 def section_candidates(spark, sf_dir):
     rows = rule_rows(spark, sf_dir)

@@ -43,7 +43,7 @@ _PLATEAU = {
 
 
 def _top(scores: dict[str, str], p: str) -> str:
-    return ", ".join(f"round({_one(s)}, 6) AS {p}{i}" for i, s in enumerate(scores.values()))
+    return ", ".join(f"round({_one(s)} + 1e-9::DOUBLE, 6) AS {p}{i}" for i, s in enumerate(scores.values()))
 
 
 def _variant(scores: dict[str, str], p: str, least: float, lead: float) -> str:
@@ -62,7 +62,7 @@ _HELD = {"delta": "energy_delta", "accent": "z_accent_intensity", "bass": "z_bas
 j AS (SELECT ev.*, coalesce(n, 0) AS n, {', '.join(f'coalesce({m}, 0) AS {m}' for m in _HELD)}, coalesce(next_rise, 0) AS rise FROM ev LEFT JOIN h USING (entity_id, event_key) LEFT JOIN x USING (entity_id, event_key)),
 s AS (SELECT *, {_top(_DROP, 'd')}, {_top(_PLATEAU, 'p')} FROM j), v AS (SELECT *, {_variant(_DROP, 'd', 0.62, 0.05)}, {_variant(_PLATEAU, 'p', 0.55, 0.04)}, type IN ('breakdown', 'pause_break') AND rise >= 0.18::DOUBLE AS reset FROM s)
 SELECT entity_id, event_key, CASE WHEN n > 0 AND type = 'drop' THEN coalesce(dv, type) WHEN n > 0 AND type = 'no_drop_plateau' THEN coalesce(pv, type) WHEN reset THEN 'energy_reset' ELSE type END AS refined,
-  round(CASE WHEN type = 'drop' AND n > 0 THEN least(1::DOUBLE, confidence + (dt - 0.5::DOUBLE) * 0.15::DOUBLE) WHEN type = 'no_drop_plateau' AND n > 0 THEN least(1::DOUBLE, greatest(confidence, pt * 0.9::DOUBLE)) WHEN reset THEN least(1::DOUBLE, greatest(confidence, rise * 0.5::DOUBLE + 0.55::DOUBLE)) ELSE confidence END, 6) AS refined_confidence FROM v""",
+  round(CASE WHEN type = 'drop' AND n > 0 THEN least(1::DOUBLE, confidence + (dt - 0.5::DOUBLE) * 0.15::DOUBLE) WHEN type = 'no_drop_plateau' AND n > 0 THEN least(1::DOUBLE, greatest(confidence, pt * 0.9::DOUBLE)) WHEN reset THEN least(1::DOUBLE, greatest(confidence, rise * 0.5::DOUBLE + 0.55::DOUBLE)) ELSE confidence END + 1e-9::DOUBLE, 6) AS refined_confidence FROM v""",
 )
 def refined_events(spark, sf_dir):
     rows = rule_rows(spark, sf_dir)
@@ -74,7 +74,7 @@ def refined_events(spark, sf_dir):
 
 
 def _case(kind: str, when: str, start: str, end: str, sure: str, strength: str, key: str, source: str) -> str:
-    return f"SELECT entity_id, {key}, '{kind}' AS type, {start} AS start_t, {end} AS end_t, round({_one(sure)}, 6) AS confidence, round({_one(strength)}, 6) AS intensity FROM {source} WHERE {when}"
+    return f"SELECT entity_id, {key}, '{kind}' AS type, {start} AS start_t, {end} AS end_t, round({_one(sure)} + 1e-9::DOUBLE, 6) AS confidence, round({_one(strength)} + 1e-9::DOUBLE, 6) AS intensity FROM {source} WHERE {when}"
 
 
 @query(
