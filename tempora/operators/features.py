@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import artifact
 from .windows import ENTITY
 
 #: Rows of a group that one task holds.
@@ -72,10 +73,15 @@ def precision_recall(rows: DataFrame, truth: Column, guess: Column) -> DataFrame
 
 def validation_split(names: DataFrame, name: str = ENTITY, share: float = 0.2) -> DataFrame:
     """The last share of the sorted names, rounded up, validates; at least one on each side."""
-    total = names.agg(F.count("*").alias("_n"))
-    from_end = F.row_number().over(Window.orderBy(F.desc(name)))
+    n = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    # ranked in ranges of names, plus what lies in the ranges before: no task sees all names
+    dealt = artifact(names.repartitionByRange(n, F.desc(name)).withColumn("_part", F.spark_partition_id()), "split-names")
+    sizes = dealt.groupBy("_part").agg(F.count("*").alias("_size"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # over as many rows as there are ranges
+    offsets = sizes.select(F.col("_part").alias("_of"), F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"), F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_n"))
+    ranked = dealt.join(F.broadcast(offsets), F.col("_part") == F.col("_of")).withColumn("_r", F.col("_offset") + F.row_number().over(Window.partitionBy("_part").orderBy(F.desc(name))))
     held = F.greatest(F.lit(1), F.least(F.ceil(F.col("_n") * F.lit(share)), F.col("_n") - 1))
-    return names.withColumn("_r", from_end).join(F.broadcast(total)).withColumn("split", F.when(F.col("_r") <= held, "validation").otherwise("train")).drop("_r", "_n")
+    return ranked.withColumn("split", F.when(F.col("_r") <= held, "validation").otherwise("train")).drop("_r", "_n", "_part", "_of", "_offset")
 
 
 def band_sums(vectors: DataFrame, vector: str, edges: list[int]) -> DataFrame:

@@ -8,6 +8,8 @@ near the interval length that is about two buckets.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -126,11 +128,21 @@ def greedy_matches(expected: DataFrame, actual: DataFrame, tolerance: int) -> Da
         used, out = set(), []
         left, right = left.sort_values(["start_t", "id"]), right.sort_values(["start_t", "id"])
         actuals = list(right.itertuples(index=False))
+        # of each type, places in order of start and in order of end
+        by_start, by_end = {}, {}
+        for i, a in enumerate(actuals):
+            by_start.setdefault(a.type, []).append((a.start_t, i))
+            by_end.setdefault(a.type, []).append((a.end_t, i))
+        for ends in by_end.values():
+            ends.sort()
         entity = (left if len(left) else right)[ENTITY].iloc[0]
         for e in left.itertuples(index=False):
+            near = set()
+            for listed, at in ((by_start.get(e.type, []), e.start_t), (by_end.get(e.type, []), e.end_t)):
+                near.update(i for _, i in listed[bisect_left(listed, (at - tolerance, -1)) : bisect_right(listed, (at + tolerance, len(actuals)))])
             best, most = None, -1.0
-            for a in actuals:
-                if a.id in used or a.type != e.type or (abs(a.start_t - e.start_t) > tolerance and abs(a.end_t - e.end_t) > tolerance):
+            for a in (actuals[i] for i in sorted(near)):
+                if a.id in used:
                     continue
                 longer = max(a.end_t - a.start_t, e.end_t - e.start_t)
                 ratio = max(0, min(a.end_t, e.end_t) - max(a.start_t, e.start_t)) / longer if longer > 0 else 0.0

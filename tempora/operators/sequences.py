@@ -1,19 +1,27 @@
 """Order-dependent operators: runs, islands, cooldowns and repeated sequences.
 
-Runs and islands are window sums. Greedy choices are a fold over each entity's sorted array where
-one number is carried, and grouped pandas functions where more is; an entity is one song's rows.
+Runs and islands are window sums. Greedy choices stream over an entity's sorted rows where one number is
+carried, and are grouped pandas functions where more is; an entity is one song's rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .windows import ENTITY, changed, order
 
 
+#: Weights of a repeated sequence: bars covered, its length, its count, a length of four, a differing beat. Fixed
+#: values.
+PATTERN_SCORE = {"bars": 1000, "length": 10, "found": 1, "four": 50, "error": 5}
+
+
 def runs(rows: DataFrame, label: str = "label", values: list[str] | None = None) -> DataFrame:
     """Runs of equal labels: run, label, first and last idx, start, end (start of the next run, or
     the entity's last time), rows and sums of values."""
@@ -45,15 +53,31 @@ def islands(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 def cooldown(rows: DataFrame, gap: int, strict: bool = False, keep: list[str] | None = None) -> DataFrame:
     """Rows kept greedily in time order: the first, then each at least ``gap`` (more than, if
-    strict) after the last kept."""
+    strict) after the last kept.
+
+    A row that far behind the row before it is kept whatever came before, so an entity is cut there and its
+    parts are dealt out apart. A task streams its rows and remembers one time."""
     keep = keep or []
-    item = F.struct("t", "event_id", *keep)
-    ordered = rows.groupBy(ENTITY).agg(F.array_sort(F.collect_list(item)).alias("_rows"))
-    kind = ordered.schema["_rows"].dataType
-    far = (lambda s, x: x["t"] - s["last"] > gap) if strict else (lambda s, x: x["t"] - s["last"] >= gap)
-    start = F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast(kind).alias("kept"))
-    fold = F.aggregate("_rows", start, lambda s, x: F.when(s["last"].isNull() | far(s, x), F.struct(x["t"].cast("bigint").alias("last"), F.concat(s["kept"], F.array(x)).alias("kept"))).otherwise(s))
-    return ordered.select(ENTITY, F.inline(fold["kept"]))
+    w = Window.partitionBy(ENTITY).orderBy("t", "event_id")
+    step = F.col("t") - F.lag("t").over(w)
+    fresh = (step > gap) if strict else (step >= gap)
+    cut = rows.select(ENTITY, "t", "event_id", *keep).withColumn("_part", F.sum(F.when(fresh, 1).otherwise(0)).over(w))
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    dealt = cut.repartition(n, ENTITY, "_part").sortWithinPartitions(ENTITY, "_part", "t", "event_id")
+    out = [ENTITY, "t", "event_id", *keep]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, last = None, None
+        for batch in batches:
+            chosen = []
+            for i, (entity, part, t) in enumerate(zip(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (ENTITY, "_part", "t")])):
+                if (entity, part) != group or t - last > gap or (t - last == gap and not strict):
+                    group, last = (entity, part), t
+                    chosen.append(i)
+            yield batch.select(out).take(pa.array(chosen, pa.int64()))
+
+    kinds = {f.name: f.dataType.simpleString() for f in cut.schema.fields}
+    return dealt.mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in out))
 
 
 def ngrams(rows: DataFrame, size: int, least: int, label: str = "label") -> DataFrame:
@@ -83,7 +107,8 @@ def bar_labels(rows: DataFrame, label: str = "label") -> DataFrame:
 
 def mine_patterns(bars: DataFrame, longest: int = 24, tolerated: int = 3) -> DataFrame:
     """Repeated bar sequences: for each length (4 first, then longest down to 2) non-overlapping occurrences from the left
-    with at most ``tolerated`` differing beats (none for 2 bars); the best by covered bars, length,
+    with at most ``tolerated`` differing beats (none for 2 bars), over the list of complete bars, so that a bar
+    left out does not break a sequence; the best by covered bars, length,
     count and differences is taken, its bars are used up, until none repeats.
     Rows: entity_id, pattern, start_bar, end_bar, mismatches."""
 
@@ -93,12 +118,11 @@ def mine_patterns(bars: DataFrame, longest: int = 24, tolerated: int = 3) -> Dat
         codes: dict[str, int] = {}
         grid = np.array([[codes.setdefault(x, len(codes)) for x in b] for b in beats]).reshape(-1, 4)
         n, used, out, pattern = len(grid), np.zeros(len(grid), dtype=bool), [], 0
-        joined = np.concatenate([[True], np.diff(numbers) == 1]) if n else np.zeros(0, dtype=bool)
         while True:
             best = None
             for length in [4, *range(min(longest, n // 2), 1, -1)]:
                 allowed = 0 if length == 2 else tolerated
-                starts = [s for s in range(n - length + 1) if not used[s : s + length].any() and joined[s + 1 : s + length].all()]
+                starts = [s for s in range(n - length + 1) if not used[s : s + length].any()]
                 for first in starts:
                     found, errors, free = [], 0, 0
                     for s in starts:
@@ -110,7 +134,7 @@ def mine_patterns(bars: DataFrame, longest: int = 24, tolerated: int = 3) -> Dat
                             errors += wrong
                             free = s + length
                     if len(found) >= 2:
-                        score = len(found) * length * 1000 + 10 * length + len(found) + 50 * (length == 4) - 5 * errors
+                        score = PATTERN_SCORE["bars"] * len(found) * length + PATTERN_SCORE["length"] * length + PATTERN_SCORE["found"] * len(found) + PATTERN_SCORE["four"] * (length == 4) - PATTERN_SCORE["error"] * errors
                         if best is None or score > best[0]:
                             best = (score, length, found)
             if best is None:
@@ -127,25 +151,42 @@ def mine_patterns(bars: DataFrame, longest: int = 24, tolerated: int = 3) -> Dat
 def absorb_short_runs(rows: DataFrame, least: int = 3, label: str = "label", strength: str = "energy") -> DataFrame:
     """Labels with runs shorter than ``least`` merged into a neighbour: into both if those agree, else
     into the one of higher mean strength, the previous on a tie; anew after each change until none
-    is left. Rows: entity_id, idx, label."""
+    is left. Rows that change take over the strength that decided. Rows: entity_id, idx, label."""
 
     def settle(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("idx")
-        names, power = pdf[label].tolist(), pdf[strength].to_numpy(dtype=float)
-        while True:
-            cuts = [0, *[i for i in range(1, len(names)) if names[i] != names[i - 1]], len(names)]
-            spans = list(zip(cuts, cuts[1:]))
-            short = next((k for k, (a, b) in enumerate(spans) if b - a < least and len(spans) > 1), None)
-            if short is None:
-                break
-            a, b = spans[short]
-            before = spans[short - 1] if short else None
-            after = spans[short + 1] if short + 1 < len(spans) else None
-            if before is None or after is not None and names[before[0]] != names[after[0]] and power[slice(*after)].mean() > power[slice(*before)].mean():
-                names[a:b] = [names[after[0]]] * (b - a)
+        runs_: list[list] = []  # label, rows, sum of strengths, first strength
+        for name, power in zip(pdf[label], pdf[strength].astype(float)):
+            if runs_ and runs_[-1][0] == name:
+                runs_[-1][1] += 1
+                runs_[-1][2] += power
+            else:
+                runs_.append([name, 1, power, power])
+        k = 0
+        while k < len(runs_) and len(runs_) > 1:
+            if runs_[k][1] >= least:
+                k += 1
+                continue
+            before = runs_[k - 1] if k else None
+            after = runs_[k + 1] if k + 1 < len(runs_) else None
+            mean = lambda r: r[2] / r[1] if r else -1.0
+            if before and after and before[0] == after[0]:
+                name, power = before[0], max(before[3], after[3])
+            elif before and mean(before) >= mean(after) or not after:
+                name, power = before[0], mean(before)
             else:
-                names[a:b] = [names[before[0]]] * (b - a)
-        return pd.DataFrame({ENTITY: pdf[ENTITY], "idx": pdf["idx"], "label": names})
+                name, power = after[0], mean(after)
+            count = runs_[k][1]
+            runs_[k] = [name, count, count * power, power]
+            first, last = k, k  # merged with the neighbours of its new label
+            while first and runs_[first - 1][0] == name:
+                first -= 1
+            while last + 1 < len(runs_) and runs_[last + 1][0] == name:
+                last += 1
+            joined = runs_[first : last + 1]
+            runs_[first : last + 1] = [[name, sum(r[1] for r in joined), sum(r[2] for r in joined), joined[0][3]]]
+            k = first
+        return pd.DataFrame({ENTITY: pdf[ENTITY], "idx": pdf["idx"], "label": [r[0] for r in runs_ for _ in range(r[1])]})
 
     return rows.groupBy(ENTITY).applyInPandas(settle, f"{ENTITY} long, idx int, label string")
 

@@ -51,14 +51,13 @@ def extremum(x: str, radius: int = 4, low: bool = False) -> Column:
 def entity_quantiles(rows: DataFrame, x: str, tenths: list[int]) -> DataFrame:
     """rows with q1, q9 and so on: quantiles in tenths of each entity's integer values, linearly
     interpolated, in tenths of the unit, so exact integers."""
-    ranked = rows.groupBy(ENTITY).agg(F.array_sort(F.collect_list(x)).alias("_v"))
-    cols = {}
+    whole = Window.partitionBy(ENTITY)
+    placed = rows.withColumns({"_rank": F.row_number().over(Window.partitionBy(ENTITY).orderBy(x)) - 1, "_n": F.count("*").over(whole)})
     for q in tenths:
-        place = (F.size("_v") - 1) * q
-        low = F.element_at("_v", (F.floor(place / 10) + 1).cast("int"))
-        high = F.element_at("_v", F.least(F.floor(place / 10) + 2, F.size("_v")).cast("int"))
-        cols[f"q{q}"] = low * (10 - place % 10) + high * (place % 10)
-    return rows.join(ranked.select(ENTITY, *[c.alias(n) for n, c in cols.items()]), ENTITY)
+        place = (F.col("_n") - 1) * q
+        part = F.when(F.col("_rank") == F.floor(place / 10), F.col(x) * (10 - place % 10)).when(F.col("_rank") == F.floor(place / 10) + 1, F.col(x) * (place % 10))
+        placed = placed.withColumn("_part", part).withColumn(f"q{q}", F.sum("_part").over(whole)).drop("_part")
+    return placed.drop("_rank", "_n")
 
 
 def accents(rows: DataFrame, x: str, rise: int) -> DataFrame:
