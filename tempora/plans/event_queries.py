@@ -313,16 +313,24 @@ def sampling_weights(spark, sf_dir):
     return counts.join(F.broadcast(total)).select("event_type", F.greatest(F.lit(1.0), F.least(F.lit(8.0), (F.col("all") - F.col("n")) / F.col("n"))).alias("weight"))
 
 
-@query("band_sums")
+#: A left fold, so that sums are added up in the order of the list.
+_ADDED = "list_reduce({}, lambda s, x: s + x)"
+
+
+@query("band_sums", "SELECT vec_id, unnest([0, 1, 2, 3, 4, 5, 6]) AS band, unnest([" + ", ".join(_ADDED.format(f"list_transform(embedding[{a + 1}:{b}], lambda x: x::DOUBLE)") for a, b in zip([0, 9, 18, 27, 36, 45, 54], [9, 18, 27, 36, 45, 54, 64])) + "]) AS total FROM embeddings")
 def band_sums(spark, sf_dir):
-    """Sums of seven ranges of components; tested against numpy, as the order of sums differs."""
+    """Sums of seven ranges of components."""
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return features.band_sums(vectors, "embedding", [0, 9, 18, 27, 36, 45, 54, 64]).select("vec_id", F.posexplode("bands").alias("band", "total"))
 
 
-@query("cosine_to_first")
+def _dot(a: str, b: str) -> str:
+    return _ADDED.format(f"list_transform(list_zip({a}, {b}), lambda x: x[1]::DOUBLE * x[2]::DOUBLE)")
+
+
+@query("cosine_to_first", f"WITH f AS (SELECT arg_min(embedding, vec_id) AS first FROM embeddings), d AS (SELECT vec_id, {_dot('embedding', 'first')} AS d, sqrt({_dot('embedding', 'embedding')}) * sqrt({_dot('first', 'first')}) AS n FROM embeddings, f) SELECT vec_id, CASE WHEN n = 0 THEN 0 ELSE d / n END AS cosine FROM d")
 def cosine_to_first(spark, sf_dir):
-    """Cosine of every vector with that of the least id; tested against numpy."""
+    """Cosine of every vector with that of the least id."""
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     first = vectors.agg(F.min_by("embedding", "vec_id").alias("_first"))
     return vectors.join(F.broadcast(first)).select("vec_id", cosine(F.col("embedding"), F.col("_first")).alias("cosine"))

@@ -274,17 +274,22 @@ def accent_kinds(spark, sf_dir):
     return windows.accents(rows_of(spark, sf_dir), "energy", 5000).where("kind is not null").select(E, "event_id", "kind")
 
 
-@query(
-    "boundary_contrast",
-    f"""WITH {TL}, m AS (SELECT *, count(*) OVER l AS nl, count(*) OVER r AS nr, sum(energy) OVER r::DOUBLE / 4 - sum(energy) OVER l::DOUBLE / 4 AS d1, sum(k) OVER r::DOUBLE / 4 - sum(k) OVER l::DOUBLE / 4 AS d2 FROM tl
-WINDOW l AS (PARTITION BY entity_id ORDER BY idx ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING), r AS (PARTITION BY entity_id ORDER BY idx ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING))
-SELECT entity_id, event_id, CASE WHEN nl = 4 AND nr = 4 THEN sqrt(d1 * d1 + d2 * d2) END AS contrast FROM m""",
-)
+CONTRAST = f"""{TL}, m AS (SELECT *, count(*) OVER l AS nl, count(*) OVER r AS nr, sum(energy) OVER r::DOUBLE / 4 - sum(energy) OVER l::DOUBLE / 4 AS d1, sum(k) OVER r::DOUBLE / 4 - sum(k) OVER l::DOUBLE / 4 AS d2 FROM tl
+WINDOW l AS (PARTITION BY entity_id ORDER BY idx ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING), r AS (PARTITION BY entity_id ORDER BY idx ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING)),
+c AS (SELECT entity_id, event_id, idx, CASE WHEN nl = 4 AND nr = 4 THEN sqrt(d1 * d1 + d2 * d2) END AS contrast FROM m)"""
+
+
+@query("boundary_contrast", f"WITH {CONTRAST} SELECT entity_id, event_id, contrast FROM c")
 def boundary_contrast(spark, sf_dir):
     return windows.contrast(rows_of(spark, sf_dir), ["energy", "k"]).select(E, "event_id", "contrast")
 
 
-@query("boundary_refine")
+@query(
+    "boundary_refine",
+    f"""WITH {CONTRAST}, o AS (SELECT b.entity_id, b.idx, step, contrast - 0.12::DOUBLE * abs(step) AS score FROM (SELECT entity_id, idx FROM tl WHERE (idx - 1) % 8 = 0) b, (SELECT unnest(range(-4, 5)) AS step) s JOIN c ON c.entity_id = b.entity_id AND c.idx = b.idx + step WHERE contrast IS NOT NULL),
+r AS (SELECT entity_id, idx, arg_max(step, {{'s': score, 'n': -abs(step), 't': step}}) AS step, max(score) AS top, max(CASE WHEN step = 0 THEN score END) AS own FROM o GROUP BY 1, 2)
+SELECT tl.entity_id, tl.idx, tl.idx + CASE WHEN top >= coalesce(own, '-inf'::DOUBLE) + 0.03::DOUBLE THEN step ELSE 0 END AS refined_idx FROM tl JOIN r USING (entity_id, idx) UNION ALL SELECT entity_id, idx, idx FROM tl WHERE (idx - 1) % 8 = 0 AND NOT EXISTS (SELECT 1 FROM r WHERE r.entity_id = tl.entity_id AND r.idx = tl.idx)""",
+)
 def boundary_refine(spark, sf_dir):
     """Every eighth row as a boundary, moved to the best contrast nearby."""
     rows = windows.contrast(rows_of(spark, sf_dir), ["energy", "k"])
