@@ -1,4 +1,4 @@
-"""Event rules as data: thresholds from each entity's statistics, one select for each rule."""
+"""Event rules as data: thresholds from each entity's statistics, and all rules in one pass over the rows."""
 
 from __future__ import annotations
 
@@ -35,20 +35,14 @@ def thresholds(rows: DataFrame, bounds: dict[str, tuple[str, float]]) -> DataFra
 def apply_rules(rows: DataFrame, rules: list[Rule]) -> DataFrame:
     """Events of all rules: entity_id, type, start_t, end_t, first_idx, last_idx, confidence (of the
     strongest row). rows need idx, t, end_t."""
-    events = None
-    for rule in rules:
-        hits = rows.where(rule.when).withColumn("_c", F.greatest(F.lit(0.0), F.least(F.lit(1.0), rule.confidence)))
-        if rule.merge:
-            found = _island_rows(hits).groupBy(ENTITY, "_k").agg(F.min("t").alias("start_t"), F.max("end_t").alias("end_t"), F.min("idx").alias("first_idx"), F.max("idx").alias("last_idx"), F.max("_c").alias("confidence"))
-        else:
-            found = hits.select(ENTITY, F.col("t").alias("start_t"), "end_t", F.col("idx").alias("first_idx"), F.col("idx").alias("last_idx"), F.col("_c").alias("confidence"))
-        found = found.select(ENTITY, F.lit(rule.kind).alias("type"), "start_t", "end_t", "first_idx", "last_idx", "confidence")
-        events = found if events is None else events.unionByName(found)
-    return events
-
-
-def _island_rows(hits: DataFrame) -> DataFrame:
-    return hits.withColumn("_k", F.col("idx") - F.row_number().over(Window.partitionBy(ENTITY).orderBy("idx")))
+    # every row lists the rules it meets and is exploded once, so that rows are computed once for all rules
+    listed = F.array_compact(F.array(*[F.when(r.when, F.struct(F.lit(r.kind).alias("type"), F.lit(r.merge).alias("_merge"), F.greatest(F.lit(0.0), F.least(F.lit(1.0), r.confidence)).alias("_c"))) for r in rules]))
+    hits = rows.select(ENTITY, "idx", "t", "end_t", F.explode(listed).alias("_r")).select(ENTITY, "idx", "t", "end_t", "_r.*")
+    place = F.row_number().over(Window.partitionBy(ENTITY, "type").orderBy("idx"))
+    islands = hits.withColumn("_k", F.when(F.col("_merge"), F.col("idx") - place).otherwise(F.col("idx")))
+    return islands.groupBy(ENTITY, "type", "_k").agg(
+        F.min("t").alias("start_t"), F.max("end_t").alias("end_t"), F.min("idx").alias("first_idx"), F.max("idx").alias("last_idx"), F.max("_c").alias("confidence")
+    ).drop("_k")
 
 
 def without_following(events: DataFrame, others: DataFrame, within: int) -> DataFrame:
