@@ -66,7 +66,7 @@ class GroupSums:
 def floor_means(partial: DataFrame, old: np.ndarray) -> np.ndarray:
     """Componentwise floor(sum / count) of each cell; cells without a member keep their old row."""
     new = old.copy()
-    for row in partial.groupBy("cell", "position").agg(F.sum("total").alias("total"), F.sum("members").alias("members")).toLocalIterator():
+    for row in partial.groupBy("cell", "position").agg(F.sum("total").alias("total"), F.sum("members").alias("members")).collect():  # cells times length rows
         new[row.cell, row.position] = row.total // row.members
     return new
 
