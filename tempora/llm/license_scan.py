@@ -1,19 +1,20 @@
 """Licence scans with a positional rare-token index (native).
 
-Licence templates are short key passages. Their words, with inverse document frequencies counted
-over the whole corpus, form a positional index: word -> (template, position). Of each file all
-indexed words are looked up, which the templates bound; a hit at place i for a posting at position p votes for
-the template at place i - p. The votes of one template and place are intersected by adding up the
-IDF of the positions that agree; where they reach a share of the template's weight and a mandatory
-key phrase of the template stands at its place, the file gets the template's label. Base phrases
-are found at every place, whatever their IDF.
-
-The texts are read once. That pass writes each file's licence words with their places, some eighth of
-all words; document frequencies, votes and phrases all come from that table.
+Licence templates are passages of licence texts and notices. All their words, with inverse document frequencies
+counted over the whole corpus, form a positional index: word -> (template, position, share of the template's
+weight). Of each file every indexed word is looked up; a hit at place i for a posting at position p votes for the
+template at place i - p with its share, so that rare words decide. The votes of one template and place are
+intersected by adding up the shares of the positions that agree; where they reach ``min_share`` and a mandatory key
+phrase of the template stands at its place, the file gets the template's label. A file votes for those templates only
+of which it holds a key phrase. Base phrases are found at every place, whatever their frequency.
+
+The texts are read once. That pass writes each file's licence words with their places; document frequencies, votes
+and phrases all come from that table. A vote is four numbers, and a key phrase found is one more vote, so the one
+shuffle of votes grows with the licence words of the files that hold a key phrase, however long one of them is.
 
 Defined cases: null text has no words; empty text neither; both give n_words 0, no labels and
 score 0. Repeated rows are scanned one by one. A very long text is one row of two arrays, as long as its
-licence words are many.
+licence words are many. Columns of docs that are named like one of the result are left out.
 """
 
 from __future__ import annotations
@@ -24,35 +25,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import lower_ascii, materialise, need_columns
+from .license_texts import BASE, TEMPLATES
 
 #: What stands between words, and the same without the blank. Words are runs of digits, letters and anything
 #: beyond ASCII.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 NO_BLANK = r"[\x00-\x1F\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 
-#: Fixed phrases and their labels.
-BASE = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
-
-#: Label, key passage, mandatory key phrases (each part of the passage). Fixed values.
-TEMPLATES = [
-    ("mit", "released under the mit license", ["mit license"]),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ["permission is hereby granted"]),
-    ("apache", "licensed under the apache license version 2 0", ["apache license version 2"]),
-    ("gpl", "this work is licensed under the gnu general public license version 3", ["gnu general public license"]),
-    ("gpl", "you can redistribute it and or modify it under the terms of the gnu general public license", ["gnu general public license"]),
-    ("lgpl", "under the terms of the gnu lesser general public license", ["gnu lesser general public license"]),
-    ("cc-by-nc", "licensed under cc by nc 4 0", ["cc by nc"]),
-    ("cc-by-sa", "licensed under cc by sa 4 0", ["cc by sa"]),
-    ("cc-by-nc", "creative commons attribution noncommercial 4 0 international license", ["attribution noncommercial"]),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", ["source and binary forms"]),
-    ("mpl", "subject to the terms of the mozilla public license v 2 0", ["mozilla public license"]),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ["permission to use copy modify"]),
-    ("unlicense", "this is free and unencumbered software released into the public domain", ["unencumbered software"]),
-]
-#: Share of a template's indexed weight that must agree at one place.
-MIN_SHARE = 0.6
-#: A template is indexed under this many of its rarest positions.
-POSTINGS = 5
+#: Share of a template's weight that must agree at one place, and the whole numbers in which shares are added up.
+MIN_SHARE, SHARE_UNIT = 0.6, 1_000_000_000
+OUT = ["n_words", "base_starts", "base_labels", "labels", "score"]
 
 
 def file_words(text: Column) -> Column:
@@ -100,70 +82,63 @@ def phrase_starts(phrase: list[str], anchor: int) -> Column:
     return F.when(F.array_contains("_distinct", phrase[anchor]), tried).otherwise(F.array().cast("array<int>"))
 
 
+def shares(passage: list[str], idf: dict[str, float]) -> list[int]:
+    """The share of each position in a passage's weight, in whole ``SHARE_UNIT``s."""
+    weight = sum(idf[w] for w in passage)
+    return [round(idf[w] / weight * SHARE_UNIT) for w in passage]
+
+
 def scan_licenses(docs: DataFrame, text: str = "text", min_share: float = MIN_SHARE) -> DataFrame:
     """docs' columns but the text, with n_words, base_starts (array), base_labels (array), labels
-    (array) and score. docs must have no columns of these names or starting with an underscore."""
-    keep = [F.col(f"`{c}`") for c in docs.columns if c != text]
-    words = materialise(licence_words(docs, text), "license-words")
+    (array) and score."""
+    spark = docs.sparkSession
+    keep = [c for c in docs.columns if c != text and c not in OUT]
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept"), F.col(f"`{text}`").alias("text")) if keep else docs.select(F.struct(F.lit(0)).alias("kept"), F.col(f"`{text}`").alias("text"))
+    words = materialise(licence_words(held, "text"), "license-words")
     idf = word_idf(words, vocabulary())
 
     def rarest(phrase: list[str]) -> int:
         return max(range(len(phrase)), key=lambda k: (idf[phrase[k]], phrase[k], -k))
 
-    phrases = {p for p, _ in BASE} | {p for _, _, ps in TEMPLATES for p in ps}
-    split = {p: p.split() for p in sorted(phrases)}
-    rows, postings = [], {}
-    for t, (label, passage, musts) in enumerate(TEMPLATES):
+    split = {p: p.split() for p in sorted({p for p, _ in BASE} | {p for _, _, ps in TEMPLATES for p in ps})}
+    postings, keys = [], {}
+    for t, (_, passage, musts) in enumerate(TEMPLATES):
         ws = passage.split()
-        picked = sorted(range(len(ws)), key=lambda k: (-idf[ws[k]], k))[:POSTINGS]
-        weight = sum(idf[ws[k]] for k in picked)
-        for k in picked:
-            postings.setdefault(ws[k], []).append((t, k, idf[ws[k]] / weight))
-        rows += [(t, label, p, next(i for i in range(len(ws)) if ws[i : i + len(split[p])] == split[p])) for p in musts]
+        postings += [(w, t, k, share) for k, (w, share) in enumerate(zip(ws, shares(ws, idf)))]
+        for p in musts:  # a key phrase stands at its first place in the passage
+            keys.setdefault(p, []).append((t, next(i for i in range(len(ws)) if ws[i : i + len(split[p])] == split[p])))
     starts = F.array(*[F.struct(F.lit(p).alias("phrase"), phrase_starts(ws, rarest(ws)).alias("at")) for p, ws in split.items()])
     base = {p: label for p, label in BASE}
     at_base = F.flatten(F.transform(F.filter("_starts", lambda s: s.phrase.isin(list(base))), lambda s: s["at"]))
     base_label = F.create_map(*[F.lit(x) for pair in BASE for x in pair])
-    hits = F.filter(F.arrays_zip("_words", "_places"), lambda h: h["_words"].isin(sorted(postings)))
-    narrow = words.withColumn("_distinct", F.array_distinct("_words")).withColumn("_starts", starts).select(
+    narrow = words.withColumn("_distinct", F.array_distinct("_words")).withColumn("_starts", F.filter(starts, lambda s: F.size(s["at"]) > 0)).select(
         "_row",
-        *keep,
+        "kept",
         "n_words",
         at_base.alias("base_starts"),
-        F.array_distinct(F.transform(F.filter("_starts", lambda s: s.phrase.isin(list(base)) & (F.size(s["at"]) > 0)), lambda s: base_label[s.phrase])).alias("base_labels"),
-        F.filter("_starts", lambda s: F.size(s["at"]) > 0).alias("_starts"),
-        hits.alias("_hits"),
+        F.array_distinct(F.transform(F.filter("_starts", lambda s: s.phrase.isin(list(base))), lambda s: base_label[s.phrase])).alias("base_labels"),
+        F.filter("_starts", lambda s: s.phrase.isin(list(keys))).alias("_starts"),
+        F.when(F.exists("_starts", lambda s: s.phrase.isin(list(keys))), F.arrays_zip("_words", "_places")).alias("_hits"),
     )
     narrow = materialise(narrow, "license-scan")
 
-    # postings of each file's indexed words vote for (template, place)
-    posting_map = F.create_map(
-        *[x for w, ps in sorted(postings.items()) for x in (F.lit(w), F.array(*[F.struct(F.lit(t).alias("template"), F.lit(k).alias("position"), F.lit(share).alias("share")) for t, k, share in ps]))]
-    )
-    # a label takes a key phrase, so files without any have no label to vote for
-    votes = (
-        narrow.where(F.size("_starts") > 0)
-        .select("_row", "_starts", F.explode("_hits").alias("_h"))
-        .select("_row", "_starts", F.col("_h._places").alias("_place"), F.explode(posting_map[F.col("_h._words")]).alias("_p"))
-        .groupBy("_row", F.col("_p.template").alias("_template"), (F.col("_place") - F.col("_p.position")).alias("_at"))
-        .agg(F.sum("_p.share").alias("_share"), F.first("_starts").alias("_starts"))
-        .where(F.col("_share") >= min_share)
-    )
-    must = F.array(*[F.struct(F.lit(t).alias("template"), F.lit(label).alias("label"), F.lit(p).alias("phrase"), F.lit(k).alias("position")) for t, label, p, k in rows])
-    verified = F.filter(
-        must,
-        lambda m: (m.template == F.col("_template"))
-        & F.exists("_starts", lambda s: (s.phrase == m.phrase) & F.array_contains(s["at"], F.col("_at") + m.position)),
-    )
-    labelled = (
-        votes.withColumn("_ok", verified)
-        .where(F.size("_ok") > 0)
-        .groupBy(F.col("_row").alias("_of"))
-        .agg(F.collect_set(F.element_at("_ok", 1).label).alias("_labels"), F.max(F.least(F.col("_share"), F.lit(1.0))).alias("_score"))
-    )
+    # tables of the templates, which are fixed, broadcast
+    posted = F.broadcast(spark.createDataFrame(postings, "_word string, _template int, _position int, _share long"))
+    keyed = F.broadcast(spark.createDataFrame([(p, t, k) for p, at in keys.items() for t, k in at], "_phrase string, _template int, _position int"))
+    holders = narrow.where(F.size("_starts") > 0)
+    of = {p: [t for t, _ in at] for p, at in keys.items()}
+    template_map = F.create_map(*[x for p, ts in sorted(of.items()) for x in (F.lit(p), F.array(*[F.lit(t) for t in ts]))])
+    present = F.array_distinct(F.flatten(F.transform("_starts", lambda s: template_map[s.phrase])))
+    hits = holders.select("_row", present.alias("_present"), F.explode("_hits").alias("_h")).select("_row", "_present", F.col("_h._words").alias("_word"), F.col("_h._places").alias("_place"))
+    by_word = hits.join(posted, "_word").where(F.array_contains("_present", F.col("_template"))).select("_row", "_template", (F.col("_place") - F.col("_position")).alias("_at"), "_share", F.lit(0).alias("_key"))
+    found = holders.select("_row", F.explode("_starts").alias("_s")).select("_row", F.col("_s.phrase").alias("_phrase"), F.explode("_s.at").alias("_place"))
+    by_phrase = found.join(keyed, "_phrase").select("_row", "_template", (F.col("_place") - F.col("_position")).alias("_at"), F.lit(0).cast("long").alias("_share"), F.lit(1).alias("_key"))
+    votes = by_word.unionByName(by_phrase).groupBy("_row", "_template", "_at").agg(F.sum("_share").alias("_share"), F.max("_key").alias("_key")).where((F.col("_share") >= round(min_share * SHARE_UNIT)) & (F.col("_key") == 1))
+    label_of = F.element_at(F.array(*[F.lit(label) for label, _, _ in TEMPLATES]), F.col("_template") + 1)
+    labelled = votes.groupBy(F.col("_row").alias("_of")).agg(F.collect_set(label_of).alias("_labels"), F.least(F.max("_share") / SHARE_UNIT, F.lit(1.0)).alias("_score"))
     none = F.array().cast("array<string>")
     return narrow.join(labelled, F.col("_row") == F.col("_of"), "left").select(
-        *keep,
+        *[F.col(f"kept.`{c}`").alias(c) for c in keep],
         "n_words",
         "base_starts",
         F.array_sort("base_labels").alias("base_labels"),

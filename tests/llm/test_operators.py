@@ -390,6 +390,55 @@ def test_media_failures_are_per_member(spark, tmp_path):
     assert media.read_media(spark, f"file://{tmp_path}/nothing").count() == 0
 
 
+def test_media_of_an_empty_table(spark, tmp_path):
+    folder = f"file://{tmp_path}/m"
+    assert media.write_media(documents(spark, ["x"]).where("doc_id < 0"), folder).collect() == []
+    found = media.media_features(media.read_media(spark, folder))
+    assert found.count() == 0 and "media_sha256" in found.columns
+
+
+def test_media_streams_are_opened_once_and_again_after_a_failure(tmp_path, monkeypatch):
+    writer = media.ArchiveWriter(f"file://{tmp_path}/m/a.tar")
+    for i in range(6):
+        writer.add(f"{i}.png", media.encode_png(bytes([i]) * 64, 64))
+    uri, _, size = writer.close()
+    opened = []
+
+    class Flaky:
+        def __init__(self, stream):
+            self.stream, self.reads = stream, 0
+
+        def seek(self, place):
+            self.stream.seek(place)
+
+        def read(self, n):
+            self.reads += 1
+            if len(opened) == 2 and self.reads == 3:
+                raise OSError("the line is down")
+            return self.stream.read(n)
+
+        def close(self):
+            self.stream.close()
+
+    class Store:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def get_file_info(self, x):
+            return self.fs.get_file_info(x)
+
+        def open_input_file(self, path):
+            opened.append(path)
+            return self.fs.open_input_file(path) if path.endswith(".idx") else Flaky(self.fs.open_input_file(path))
+
+    plain = media.at
+    monkeypatch.setattr(media, "at", lambda u: (Store(plain(u)[0]), plain(u)[1]))
+    reader = media.MediaReader({"path": f"{tmp_path}/m", "batchbytes": "100"})
+    found = [r for batch in reader.read(media.ByteRange(uri, size, 0, size)) for r in batch.to_pylist()]
+    assert [r["member"] for r in found] == [f"{i}.png" for i in range(6)] and all(r["error"] is None for r in found)
+    assert len(opened) == 3  # the sidecar, the archive, and the archive after the failure
+
+
 # --- repeated strings
 
 
@@ -484,6 +533,62 @@ def test_licenses_of_a_file_that_holds_them_all(spark):
     assert got[1].labels == ["cc-by-nc"]
 
 
+def plain_license_scan(texts):
+    """Every template tried at every place of every text, with dictionaries."""
+    import math
+    import re
+
+    words = [re.findall("[0-9a-z\x80-\U0010ffff]+", "".join(c.lower() if c.isascii() else c for c in t or "")) for t in texts]
+    holds = Counter(w for ws in words for w in set(ws))
+    idf = lambda w: math.log((1 + len(texts)) / (1 + holds[w])) + 1e-6
+    out = []
+    for ws in words:
+        at = lambda p, k: 0 <= k and ws[k : k + len(p)] == p
+        labels = {label for p, label in license_scan.BASE if any(at(p.split(), k) for k in range(len(ws)))}
+        best = 0.5 if labels else 0.0
+        for label, passage, musts in license_scan.TEMPLATES:
+            ps = passage.split()
+            weight = sum(map(idf, ps))
+            keys = [(m.split(), next(i for i in range(len(ps)) if ps[i : i + len(m.split())] == m.split())) for m in musts]
+            for k in range(-len(ps), len(ws)):
+                if any(at(m, k + i) for m, i in keys):
+                    share = sum(idf(p) for i, p in enumerate(ps) if 0 <= k + i < len(ws) and ws[k + i] == p) / weight
+                    if share >= license_scan.MIN_SHARE:
+                        labels.add(label)
+                        best = max(best, share)
+        out.append((sorted(labels), best))
+    return out
+
+
+def test_license_labels_equal_brute_force(spark):
+    rng = random.Random(8)
+    texts = [None, "", "the software"]
+    for _ in range(150):
+        parts = []
+        for _ in range(rng.randrange(1, 4)):
+            label, passage, musts = rng.choice(license_scan.TEMPLATES)
+            ws = passage.split()
+            for _ in range(rng.randrange(0, 1 + len(ws) // 2)):  # words lost, changed and put in
+                k = rng.randrange(len(ws))
+                ws[k : k + 1] = rng.choice([[], ["xyzzy"], [ws[k], "plugh"]])
+                ws = ws or ["x"]
+            parts.append(rng.choice([" ".join(ws).upper(), ", ".join(ws)]) + rng.choice([". ", "\n"]) + prose(rng.random(), rng.randrange(5)))
+        texts.append(" ".join(parts))
+    docs = documents(spark, texts).select("doc_id", "text", F.lit("mine").alias("labels"), F.lit(1).alias("_row"), F.lit(2).alias("_hits"))
+    found = {r.doc_id: r for r in license_scan.scan_licenses(docs).collect()}
+    assert found[0]._row == 1 and found[0]._hits == 2
+    for i, (labels, score) in enumerate(plain_license_scan(texts)):
+        assert (found[i].labels, found[i].score) == (labels, pytest.approx(score, abs=1e-6)), texts[i]
+
+
+def test_votes_grow_with_the_text_only(spark):
+    """A hit once carried all phrase places of its file: 16,000 repeats then shuffled a gigabyte."""
+    texts = ["mit license " * 20_000, "released under the mit license " * 8_000, "nothing"]
+    found = {r.doc_id: r for r in license_scan.scan_licenses(documents(spark, texts).select("doc_id", "text")).collect()}
+    assert len(found[0].base_starts) == 20_000 and found[0].labels == ["mit"]
+    assert found[1].score == pytest.approx(1) and len(found[1].base_starts) == 8_000
+
+
 # --- mixing
 
 
@@ -518,3 +623,46 @@ def test_mixing(spark, buckets):
     again = mixing.mix_sources(docs.repartition(3), buckets=buckets).collect()
     assert sorted(map(str, again)) == sorted(map(str, rows))
     assert mixing.mix_sources(docs.where("doc_id < 0")).count() == 0
+    empty = spark.createDataFrame([(1, None, 0), (2, "a", 0), (3, "a", 1), (4, "b", 5)], "doc_id long, source string, size long")
+    assert {r.doc_id: r.copies for r in mixing.mix_sources(empty).collect()}[1] == 0
+    assert all(r.copies <= 2 for r in mixing.mix_sources(empty).collect())
+    clash = mixing.mix_sources(docs.withColumns({"_u": F.lit(5), "target": F.lit("t"), "_bucket": F.lit("b")}), buckets=buckets)
+    assert clash.columns == ["doc_id", "source", "size", "_u", "_bucket", "source_size", "target", "copies"]
+    assert sorted(str((r.doc_id, r.copies, r.target)) for r in clash.collect()) == sorted(str((r.doc_id, r.copies, r.target)) for r in rows)
+
+
+def expected_copies(sizes, target, most=2):
+    """The level found by halving."""
+    weight = [8 + max(1, s.bit_length()) for s in sizes]
+    low, high = 0.0, 10.0
+    for _ in range(200):
+        level = (low + high) / 2
+        low, high = (level, high) if sum(min(most, level * w) * s for w, s in zip(weight, sizes)) < target else (low, level)
+    return [min(most, high * w) for w in weight]
+
+
+def test_chances_of_documents(spark):
+    """Chances differ between documents, add up to the target, and are met over many sources of equal sizes."""
+    rng = random.Random(4)
+    kinds = {"a": [int(2 ** rng.uniform(0, 12)) for _ in range(60)] + [0, 0], "b": [30] * 25, "c": [3, 700, 90] * 10}
+    runs, sizes = 80, [(kind, place, size) for kind, ns in kinds.items() for place, size in enumerate(ns)]
+    rows = [(i, f"{kind}{run:02}", size, place) for i, (run, (kind, place, size)) in enumerate((run, one) for run in range(runs) for one in sizes)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, size long, place int").repartition(3)
+    taken, target = Counter(), {}
+    for r in mixing.mix_sources(docs, weights=(1,), share=0.9).collect():
+        taken[r.source[0], r.place] += r.copies
+        target[r.source[0]] = r.target
+    for kind, ns in kinds.items():
+        want = expected_copies(ns, target[kind])
+        assert sum(w * n for w, n in zip(want, ns)) == pytest.approx(target[kind], rel=1e-6)
+        gaps = [(taken[kind, i] / runs - w) / max(0.02, ((w % 1) * (1 - w % 1) / runs) ** 0.5) for i, (w, n) in enumerate(zip(want, ns)) if n]
+        assert max(map(abs, gaps)) < 5 and abs(np.mean(gaps)) < 0.6, (kind, gaps)
+    assert len({round(w, 6) for w in expected_copies(kinds["a"], target["a"])}) > 5
+
+
+def test_rows_without_ids_are_told_apart(spark):
+    docs = spark.createDataFrame([(None, "s", 10, k) for k in range(300)], "doc_id long, source string, size long, k long")
+    alike, apart = (mixing.mix_sources(docs.withColumn("_q", F.lit("x")), share=0.5, tell=tell).collect() for tell in (None, "k"))
+    assert sum(r.copies for r in alike) == sum(r.copies for r in apart) == 150
+    some = docs.select(mixing.document_uniform(F.col("doc_id"), "x", F.col("k")).alias("u")).distinct().count()
+    assert some == 300

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tempora.llm import near_sets, simhash, substring_dedup
+from tempora.llm import near_sets, substring_dedup
 from tempora.llm.packing import default_tokenizer
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, key string"
@@ -108,21 +108,6 @@ def test_stages_on_an_empty_table(spark, corpus):
     assert docs.count() == 0
 
 
-def test_near_copies_link_and_others_do_not():
-    text = words(1, 300)
-    rng = random.Random(2)
-    prints = []
-    for changes in (0, 3, 6):
-        some = list(text)
-        for k in rng.sample(range(300), changes):
-            some[k] = "other"
-        prints.append(int.from_bytes(simhash.fingerprint(simhash.shingle_hashes(" ".join(some), 5), 4), "big"))
-    radius = int(corpus_pipeline.RADIUS_SHARE * 256)
-    assert all((prints[0] ^ p).bit_count() <= radius for p in prints)
-    far = int.from_bytes(simhash.fingerprint(simhash.shingle_hashes(" ".join(words(3, 300)), 5), 4), "big")
-    assert (prints[0] ^ far).bit_count() > 2 * radius
-
-
 def left_of(spark, rows):
     docs = spark.createDataFrame([(i, t, "en", "s0", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     return sorted(((r.doc_id, r.text) for r in stage("near_duplicates")(spark, docs.repartition(3), "").collect()), key=str)
