@@ -8,13 +8,16 @@ document or another. Texts are judged as they come in, so the order of removals
    rightmost of equals. Equal windows have equal anchors at equal places. Anchors that occur at
    one place only are dropped, by a group-by on (anchor hash, least place, largest place).
 3. The bytes of the windows of each remaining anchor, its context, go to the anchor's group, equal
-   contexts once with a count. A context that occurs twice is repeated throughout.
+   contexts once with a count, by a 128-bit digest. A context that occurs twice is repeated throughout.
 4. In a group with several contexts, each is written as a string of block symbols, blocks being
    aligned at the anchor. Their suffix array brings together all suffixes that share a window's
    whole blocks; among those, the bytes at both ends are compared for each alignment.
-   Groups of more contexts than one task should hold are not put in an array: their windows are
-   compared by two independent 64-bit hashes in a group-by (the exact way for the rest).
-5. The spans found are gathered for each text, merged and cut out.
+5. A group of more contexts than one task should hold is dealt out anew by a longer key: a window holds the
+   anchor and also half of what is left of its bytes either just before the anchor or just after it, so each context
+   goes, cut to those windows, to the group of the anchor with the bytes before it and to that with the bytes after
+   it. Equal windows meet in one of them. This is done again with the longer key until every group fits; when the
+   key is a window's length, a group is one window.
+6. The spans found are gathered for each text, merged and cut out.
 
 Texts are shuffled twice, by their digest; all else is narrow. Contexts are about one and a half
 times the bytes of the candidate windows. No group, hot or not, is gathered beyond ``MAX_CONTEXTS``
@@ -121,37 +124,46 @@ def anchor_rows(texts: DataFrame, span: int, gram: int) -> DataFrame:
     return texts.select("key", "text").mapInArrow(run, "anchor long, key binary, place int, first int, last int")
 
 
+def context_digest(data: bytes, lead: int) -> bytes:
+    """What a context is known by: 128 bits of its bytes and of where its blocks begin."""
+    return hashlib.blake2b(data, digest_size=16, salt=bytes([lead % BLOCK])).digest()
+
+
+#: Contexts: the key of their group, their digest, and the text and place they come from; lead bytes stand before the anchor.
+CONTEXTS = pa.schema([("anchor", pa.int64()), ("context", pa.binary()), ("key", pa.binary()), ("first", pa.int32()), ("length", pa.int32()), ("lead", pa.int32()), ("bytes", pa.binary())])
+
+
 def context_rows(texts: DataFrame, span: int) -> DataFrame:
-    """Contexts of texts (key, text, anchors), anchors being structs (anchor, place, first, last):
-    (anchor, context, key, first, length, shift, bytes); bytes only where the task has not just
-    sent them for the same anchor and context."""
+    """Contexts of texts (key, text, anchors), anchors being structs (anchor, place, first, last); bytes only
+    where the task has not just sent them for the same anchor and context."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: set[tuple[int, int]] = set()
-        names = ["anchor", "context", "key", "first", "length", "shift", "bytes"]
-        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+        sent: set[tuple[int, bytes]] = set()
+
+        def out(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), CONTEXTS)], schema=CONTEXTS)
+
         for batch in by_bytes(batches):
             rows, held = [], 0
             for key, text, anchors in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 data = text.encode()
                 for a in anchors:
                     piece = data[a["first"] : a["last"] + span]
-                    shift = (a["place"] - a["first"]) % BLOCK
-                    mark = xxhash.xxh64_intdigest(piece, shift)
-                    mark -= (mark >> 63) << 64
+                    lead = a["place"] - a["first"]
+                    mark = context_digest(piece, lead)
                     if new := (a["anchor"], mark) not in sent:
                         if len(sent) >= REMEMBERED:
                             sent.clear()
                         sent.add((a["anchor"], mark))
                         held += len(piece)
-                    rows.append((a["anchor"], mark, key, a["first"], len(piece), shift, piece if new else None))
+                    rows.append((a["anchor"], mark, key, a["first"], len(piece), lead, piece if new else None))
                 if held > 1 << 22:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+                    yield out(rows)
                     rows, held = [], 0
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+                yield out(rows)
 
-    return texts.select("key", "text", "anchors").mapInArrow(run, "anchor long, context long, key binary, first int, length int, shift int, bytes binary")
+    return texts.select("key", "text", "anchors").mapInArrow(run, "anchor long, context binary, key binary, first int, length int, lead int, bytes binary")
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -221,7 +233,8 @@ def repeated_windows(contexts: list[tuple[bytes, int, int]], span: int) -> list[
 
 def cover_groups(contexts: DataFrame, span: int) -> DataFrame:
     """(anchor, context, start, end): spans repeated in each context; contexts (anchor, context,
-    shift, count, bytes) are dealt out by anchor."""
+    lead, count, bytes) are dealt out by anchor."""
+    kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int32())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, marks, anchor = [], [], None
@@ -232,45 +245,72 @@ def cover_groups(contexts: DataFrame, span: int) -> DataFrame:
                 return [(anchor, marks[0], 0, len(data))] if count > 1 else []
             return [(anchor, marks[c], start, end) for c, spans in enumerate(repeated_windows(held, span)) for start, end in ([(0, len(held[c][0]))] if held[c][2] > 1 else spans)]
 
+        def out(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["anchor", "context", "start", "end"])
+
         for batch in by_bytes(batches):
             rows = []
-            for own, mark, shift, count, data in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            for own, mark, lead, count, data in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 if own != anchor:
                     if held:
                         rows += close()
                     held, marks, anchor = [], [], own
-                held.append((data, shift, count))
+                held.append((data, lead % BLOCK, count))
                 marks.append(mark)
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["anchor", "context", "start", "end"])
+                yield out(rows)
         if held and (rows := close()):
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["anchor", "context", "start", "end"])
+            yield out(rows)
 
-    dealt = contexts.select("anchor", "context", "shift", "count", "bytes").repartition(partitions_for(contexts.sparkSession), "anchor").sortWithinPartitions("anchor", "context")
-    return dealt.mapInArrow(run, "anchor long, context long, start int, end int")
+    dealt = contexts.select("anchor", "context", "lead", "count", "bytes").repartition(partitions_for(contexts.sparkSession), "anchor").sortWithinPartitions("anchor", "context")
+    return dealt.mapInArrow(run, "anchor long, context binary, start int, end int")
 
 
-def cover_windows(contexts: DataFrame, span: int) -> DataFrame:
-    """As cover_groups, for anchors of any number of contexts: windows meet by two hashes."""
+def halves(data: bytes, lead: int, core: int, span: int) -> Iterator[tuple[int, bytes, int, int]]:
+    """A context's windows that hold ``core`` bytes from ``lead`` on, in two parts: (offset, bytes, lead, core) of the windows that
+    hold half of their other bytes before the core, which then begins earlier, and of those that hold the other half behind it."""
+    last, before = len(data) - span, -(-(span - core) // 2)
+    if lead >= before:
+        yield 0, data[: min(last, lead - before) + span], lead - before, core + before
+    first = max(0, lead - before + 1)
+    if first <= last:
+        yield first, data[first:], lead - first, span - before + 1
+
+
+def longer_keys(hot: DataFrame, span: int) -> DataFrame:
+    """Contexts (anchor, context, count, lead, core, bytes) dealt to two groups each, their key of ``core`` bytes made longer:
+    (of_anchor, of_context, offset, anchor, context, count, lead, core, bytes)."""
+    schema = pa.schema([("of_anchor", pa.int64()), ("of_context", pa.binary()), ("offset", pa.int32()), ("anchor", pa.int64()), ("context", pa.binary()), ("count", pa.int64()), ("length", pa.int32()), ("lead", pa.int32()), ("core", pa.int32()), ("bytes", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, two = Grams(2), Grams(3)
         for batch in by_bytes(batches):
-            for own, mark, count, data in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3, 4))):
-                raw = np.frombuffer(data, dtype=np.uint8)
-                h1, h2 = one(raw, span), two(raw, span)
-                n = len(h1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(np.full(n, own)), pa.array(np.full(n, mark)), pa.array(np.full(n, count)), pa.array(np.arange(n, dtype=np.int32))],
-                    names=["h1", "h2", "anchor", "context", "count", "start"],
-                )
+            rows = []
+            for own, mark, count, lead, size, data in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                for offset, part, at, longer in halves(data, lead, size, span):
+                    number = xxhash.xxh64_intdigest(part[at : at + longer], longer)
+                    rows.append((own, mark, offset, number - ((number >> 63) << 64), context_digest(part, at), count, len(part), at, longer, part))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    rows = contexts.select("anchor", "context", "shift", "count", "bytes").mapInArrow(run, "h1 long, h2 long, anchor long, context long, count long, start int")
-    rows = materialise(rows, "spans-windows")
-    twice = rows.groupBy("h1", "h2").agg(F.sum("count").alias("n")).where("n > 1").select(F.col("h1").alias("_1"), F.col("h2").alias("_2"))
-    hits = rows.join(twice, (F.col("h1") == F.col("_1")) & (F.col("h2") == F.col("_2")))
-    # windows of one context start less than a span apart, so together they cover one span
-    return hits.groupBy("anchor", "context").agg(F.min("start").alias("start"), (F.max("start") + span).alias("end"))
+    return hot.select("anchor", "context", "count", "lead", "core", "bytes").mapInArrow(run, "of_anchor long, of_context binary, offset int, anchor long, context binary, count long, length int, lead int, core int, bytes binary")
+
+
+def covered_contexts(one: DataFrame, span: int, max_contexts: int) -> DataFrame:
+    """(anchor, context, start, end): repeated spans of distinct contexts (anchor, context, count, lead, core, length, bytes)."""
+    sizes = materialise(one.groupBy("anchor").agg(F.count("*").alias("_n")).withColumnRenamed("anchor", "_anchor"), "spans-sizes")
+    sized = one.join(sizes, F.col("anchor") == F.col("_anchor")).drop("_anchor")
+    covered = cover_groups(sized.where(F.col("_n").between(2, max_contexts)), span)
+    covered = covered.union(sized.where("_n = 1 and count > 1").select("anchor", "context", F.lit(0).alias("start"), F.col("length").alias("end")))
+    hot = materialise(sized.where(F.col("_n") > max_contexts).drop("_n", "length"), "spans-hot")
+    if hot.isEmpty():
+        return covered
+    dealt = materialise(longer_keys(hot, span), "spans-dealt")
+    forget(hot)
+    # keys of one length have one group, so a key's bytes decide where a context goes; digests then tell contexts apart
+    again = dealt.groupBy("anchor", "context").agg(F.sum("count").alias("count"), *[F.first(c).alias(c) for c in ("lead", "core", "length", "bytes")])
+    found = covered_contexts(materialise(again, "spans-distinct"), span, max_contexts).withColumnsRenamed({"anchor": "_a", "context": "_c"})
+    back = dealt.select("of_anchor", "of_context", "offset", "anchor", "context").join(found, (F.col("anchor") == F.col("_a")) & (F.col("context") == F.col("_c")))
+    return covered.union(back.select(F.col("of_anchor"), F.col("of_context"), F.col("start") + F.col("offset"), F.col("end") + F.col("offset")))
 
 
 def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM, max_contexts: int = MAX_CONTEXTS) -> DataFrame:
@@ -291,16 +331,9 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM, max_cont
     placed = materialise(context_rows(texts, span), "spans-contexts")
     forget(anchors)
 
-    one = placed.groupBy("anchor", "context").agg(F.count("*").alias("count"), F.first("shift").alias("shift"), F.first("bytes", True).alias("bytes"), F.first("length").alias("length"))
-    one = materialise(one, "spans-distinct")
-    sizes = materialise(one.groupBy("anchor").agg(F.count("*").alias("_n")).withColumnRenamed("anchor", "_anchor"), "spans-sizes")
-    sized = one.join(sizes, F.col("anchor") == F.col("_anchor")).drop("_anchor")
-    covered = cover_groups(sized.where(F.col("_n").between(2, max_contexts)), span)
-    covered = covered.union(sized.where("_n = 1 and count > 1").select("anchor", "context", F.lit(0).alias("start"), F.col("length").alias("end")))
-    hot = materialise(sized.where(F.col("_n") > max_contexts).drop("_n", "length"), "spans-hot")
-    if not hot.isEmpty():
-        covered = covered.union(cover_windows(hot, span))
-    covered = covered.select(F.col("anchor").alias("_a"), F.col("context").alias("_c"), "start", "end")
+    one = placed.groupBy("anchor", "context").agg(F.count("*").alias("count"), F.first("lead").alias("lead"), F.first("bytes", True).alias("bytes"), F.first("length").alias("length"))
+    one = materialise(one.withColumn("core", F.lit(gram)), "spans-distinct")
+    covered = covered_contexts(one, span, max_contexts).select(F.col("anchor").alias("_a"), F.col("context").alias("_c"), "start", "end")
     covered = materialise(covered, "spans-covered")
     return (
         placed.select("anchor", "context", "key", "first")
