@@ -210,7 +210,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, keys: list[str], text: str =
         packer = Packer(tokens, segments, loss)
         base = TaskContext.get().partitionId() << 40
         numbers = iter(range(1 << 40))
-        pending: dict[int, tuple] = {}  # documents with items in the pool
+        pending: dict[int, tuple] = {}  # documents with items in the pool: what is not packed yet of their ids
         count = 0
         rows: list[list] = []
 
@@ -218,13 +218,13 @@ def pack_documents(docs: DataFrame, tokenizer: str, keys: list[str], text: str =
             for bin_ in bins:
                 sequence = base + next(numbers)
                 for key, start, length, offset in bin_:
-                    values, ids, open_tokens = pending[key]
-                    piece = ids[start : start + length]
-                    rows.append([*values, start, length, zlib.crc32(piece.astype("<u4").tobytes()), len(ids), sequence, offset])
+                    values, tail, skipped, total, open_tokens = pending[key]
+                    piece = tail[start - skipped : start - skipped + length]
+                    rows.append([*values, start, length, zlib.crc32(piece.astype("<u4").tobytes()), total, sequence, offset])
                     if open_tokens == length:
                         del pending[key]
                     else:
-                        pending[key] = (values, ids, open_tokens - length)
+                        pending[key] = (values, tail, skipped, total, open_tokens - length)
 
         def out():
             nonlocal rows
@@ -242,13 +242,16 @@ def pack_documents(docs: DataFrame, tokenizer: str, keys: list[str], text: str =
                     ids = np.append(ids, np.uint32(end_id))
                 if not len(ids):
                     continue
-                pending[count] = (tuple(c[i] for c in columns), ids, len(ids))
+                values = tuple(c[i] for c in columns)
+                pending[count] = (values, ids, 0, len(ids), len(ids))
                 free = min(len(ids), (skip[i] or 0) if skip else 0)
                 start = 0
                 while len(ids) - start >= (whole := min(tokens, max(0, free - start) + loss)):
                     put([[(count, start, whole, 0)]])
                     start += whole
                 if start < len(ids):
+                    if start:  # the pool holds the tail alone, however long the text
+                        pending[count] = (values, ids[start:].copy(), start, len(ids), len(ids) - start)
                     packer.add(count, start, len(ids) - start, max(0, len(ids) - max(start, free)))
                 count += 1
                 if packer.held > packer.pool:
