@@ -185,37 +185,51 @@ class MediaReader(DataSourceReader):
                         yield at_, at_ + 512, length, None
                     at_ += 512 + length + -length % 512
 
-    def member(self, part: ByteRange, entry: tuple) -> tuple[str, bytes | None, str | None]:
-        """Name and data of one member, opened and sought anew at each try."""
+    def member(self, part: ByteRange, entry: tuple, streams: list) -> tuple[str, bytes | None, str | None]:
+        """Name and data of one member, sought in the range's stream; a stream that failed is closed, and the next
+        try opens another. streams holds the open one, if any."""
         start, data_at, length, crc = entry
         for attempt in range(self.tries):
             try:
-                fs, path = at(part.archive)
-                with fs.open_input_file(path) as file:
-                    file.seek(start)
-                    block = file.read(data_at - start + length)
+                if not streams:
+                    fs, path = at(part.archive)
+                    streams.append(fs.open_input_file(path))
+                streams[0].seek(start)
+                block = streams[0].read(data_at - start + length)
                 data = block[data_at - start :]
                 if len(data) != length or crc is not None and zlib.crc32(data) != crc:
                     raise OSError("the member does not have its checksum")
                 return block[:100].rstrip(b"\0").decode(), data, None
             except OSError as error:
                 problem = f"{part.archive} at {start}: {error}"
+                self.close(streams)
                 time.sleep(0.05 * 2**attempt)
         if self.fail:
             raise OSError(problem)
         return "", None, problem
 
+    @staticmethod
+    def close(streams: list) -> None:
+        while streams:
+            try:
+                streams.pop().close()
+            except OSError:  # it is given up anyway
+                pass
+
     def read(self, part: ByteRange) -> Iterator[pa.RecordBatch]:
-        rows, held = [], 0
-        for entry in self.members(part) if part.archive else ():
-            name, data, problem = self.member(part, entry)
-            rows.append((part.archive, name, entry[0], data, problem))
-            held += len(data or b"")
-            if held >= self.batch_bytes:
+        rows, held, streams = [], 0, []
+        try:
+            for entry in self.members(part) if part.archive else ():
+                name, data, problem = self.member(part, entry, streams)
+                rows.append((part.archive, name, entry[0], data, problem))
+                held += len(data or b"")
+                if held >= self.batch_bytes:
+                    yield self.batch(rows)
+                    rows, held = [], 0
+            if rows:
                 yield self.batch(rows)
-                rows, held = [], 0
-        if rows:
-            yield self.batch(rows)
+        finally:
+            self.close(streams)
 
     @staticmethod
     def batch(rows: list[tuple]) -> pa.RecordBatch:
