@@ -88,16 +88,19 @@ def beat_rows(beats: DataFrame, tracks: Tracks, width: int) -> DataFrame:
 def scored(rows: DataFrame, features: list[str] = FEATURES, unit: dict[str, int] | None = None) -> DataFrame:
     """rows with ``z_<feature>``, the score of each feature against the entity's mean and population
     deviation, in whole millionths; 0 where the deviation is below 1e-9. ``unit`` names features that are
-    whole only when multiplied by a number."""
+    whole only when multiplied by a number. Statistics are partial sums by entity, joined back; rows are best a table, as they
+    are read twice."""
     unit = unit or {"energy_score": 4}
     exact = {f: (F.col(f) * unit.get(f, 1)).cast("decimal(19,0)") for f in features}
-    whole = Window.partitionBy(ENTITY)
-    n, columns = F.count("*").over(whole), {}
+    sums = [F.count("*").alias("_n")]
     for f, x in exact.items():
-        by, s, q = unit.get(f, 1), F.sum(x).over(whole).cast("decimal(38,0)"), F.sum((x * x).cast("decimal(37,0)")).over(whole).cast("decimal(38,0)")
+        sums += [F.sum(x).cast("decimal(38,0)").alias(f"_s_{f}"), F.sum((x * x).cast("decimal(37,0)")).cast("decimal(38,0)").alias(f"_q_{f}")]
+    n, columns = F.col("_n"), []
+    for f in features:
+        by, s, q = unit.get(f, 1), F.col(f"_s_{f}"), F.col(f"_q_{f}")
         spread = (n.cast("decimal(38,0)") * q - s * s).cast("double")
-        columns |= {f"_m_{f}": F.round(s.cast("double") / n / by, 6), f"_d_{f}": F.round(F.sqrt(spread) / n / by, 6)}
-    joined = rows.withColumns(columns)
+        columns += [F.round(s.cast("double") / n / by, 6).alias(f"_m_{f}"), F.round(F.sqrt(spread) / n / by, 6).alias(f"_d_{f}")]
+    joined = rows.join(rows.groupBy(ENTITY).agg(*sums).select(ENTITY, *columns), ENTITY)
     score = lambda f: F.when(F.col(f"_d_{f}") < 1e-9, F.lit(0.0)).otherwise((F.col(f) - F.col(f"_m_{f}")) / F.col(f"_d_{f}") * MILLION)
     return joined.withColumns({f"z_{f}": F.round(score(f)).cast("long") for f in features}).drop(*[f"_{k}_{f}" for f in features for k in "md"])
 

@@ -35,18 +35,50 @@ def window_means(spans: DataFrame, rows: DataFrame, means: dict[str, Column], wi
     return spans.join(out, [ENTITY, key], "left").fillna(0, [f"{prefix}n"]).fillna(0.0, [f"{prefix}{n}" for n in means])
 
 
-def refine_candidates(events: DataFrame, rows: DataFrame, width: int, after: int, seconds: int = 1_000_000, key: str = "event_key", spectral_rise: Column | None = None) -> DataFrame:
-    """events (entity_id, key, type, start_t, end_t, confidence, section_character) with ``refined``, the type
+#: What each variant's candidate says, and what an event says that takes none. Fixed values.
+VARIANT_NOTES = {
+    "drop_explode": "Explosive release with strong accent and spectral opening.",
+    "drop_groove": "Sustained bass-led release with groove continuity.",
+    "drop_punch": "Compact high-impact release with punch-forward attack.",
+    "soft_release": "Release resolves tension with softer attack and less explosive accent.",
+    "groove_loop": "Stable bass-led pulse and sustained motion support a groove-loop interpretation.",
+    "atmospheric_plateau": "Lower-volatility texture and sustained space support an atmospheric plateau.",
+    "no_drop_plateau": "Build evidence remains present, but sustained-state evidence is not decisive enough for a narrower subtype.",
+}
+KEEPS_DROP = "Subtype evidence is not decisive enough; keeping parent drop label."
+KEEPS_PLATEAU = "Sustained-state subtype evidence is not decisive enough; keeping the parent plateau label."
+RESETS = "Follow-up energy rise indicates a reset-and-reentry mechanic."
+RESET_NOTES = ("Energy rebuild follows the negative-space window.", "Parent transition remains a valid fallback.")
+#: Rise of the spectral centroid that counts as wholly open.
+OPEN_CENTROID = 200.0
+
+
+def ranked_candidates(scores: dict[str, Column]) -> Column:
+    """Scores as candidates (type, confidence, notes), the best first, equals in their order."""
+    listed = F.array(*[F.struct((-score).alias("down"), F.lit(i).alias("place"), F.lit(name).alias("type"), score.alias("confidence"), F.lit(VARIANT_NOTES[name]).alias("notes")) for i, (name, score) in enumerate(scores.items())])
+    return F.transform(F.array_sort(listed), lambda s: F.struct(s["type"].alias("type"), s["confidence"].alias("confidence"), s["notes"].alias("notes")))
+
+
+def refine_candidates(events: DataFrame, rows: DataFrame, width: int, after: int, seconds: int = 1_000_000, key: str = "event_key", identifiers: DataFrame | None = None) -> DataFrame:
+    """events (entity_id, key, type, start_t, end_t, confidence, section_character, perhaps intensity) with ``refined``, the type
     after refinement: drops and plateaus take the variant of the clearly best score; a breakdown or pause that is
-    followed within ``after`` by a mean rise becomes an energy reset. ``refined_confidence`` follows."""
+    followed within ``after`` by a mean rise becomes an energy reset. ``refined_confidence`` follows, ``refined_intensity`` (the
+    event's own, else from its window), ``candidates`` with what speaks for each, null where nothing was weighed, and ``note``.
+    identifiers (entity_id, key, spectral_centroid_delta), one row an event at most, say how far a drop's spectrum opens."""
     c = F.col
+    if identifiers is not None:
+        opens = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("spectral_centroid_delta") / OPEN_CENTROID))
+        told = identifiers.select(ENTITY, key, opens.alias("spectral_rise"), F.lit(True).alias("identified"))
+        events = events.join(told, [ENTITY, key], "left").fillna(0.0, ["spectral_rise"]).fillna(False, ["identified"])
+    else:
+        events = events.withColumns({"spectral_rise": F.lit(0.0), "identified": F.lit(False)})
     means = {"delta": c("energy_delta"), "accent": c("z_accent_intensity"), "bass": c("z_bass_activation"), "energy": c("energy_score_local"), "onset": c("z_onset"), "vocal": c("z_vocal_presence"), "score": c("z_energy_score")}
     held = window_means(events, rows, means, width, key)
     later = held.withColumns({"_from": c("end_t"), "_to": c("end_t") + after})
     followed = window_means(later, rows, {"rise": F.greatest(F.lit(0), c("energy_delta"))}, width, key, "next_", "_from", "_to").drop("_from", "_to")
     one = lambda x: F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))
     above = lambda x: F.greatest(F.lit(0.0), x)
-    opening = F.lit(0.0) if spectral_rise is None else spectral_rise
+    opening = c("spectral_rise")
     drops = {
         "drop_explode": c("accent") * 0.4 + one(c("delta") * 2.0) * 0.25 + opening * 0.2 + c("onset") * 0.15,
         "drop_groove": c("bass") * 0.4 + c("energy") * 0.3 + c("onset") * 0.2 + above(1.0 - c("accent")) * 0.1,
@@ -60,8 +92,9 @@ def refine_candidates(events: DataFrame, rows: DataFrame, width: int, after: int
         "atmospheric_plateau": above(0.6 - c("onset")) * 0.32 + above(0.55 - c("bass")) * 0.22 + above(0.5 - c("score")) * 0.18 + F.least(F.lit(1.0), length / 16.0) * 0.18 + named("ambient", "breath") * 0.1,
         "no_drop_plateau": F.least(F.lit(1.0), length / 12.0) * 0.2 + c("score") * 0.15 + 0.3,
     }
-    scored = pick_variant(followed, {n: F.round(one(s) + HALF_UP, 6) for n, s in drops.items()}, 0.62, 0.05).withColumnsRenamed({"variant": "_drop", "top_score": "_drop_top"})
-    scored = pick_variant(scored, {n: F.round(one(s) + HALF_UP, 6) for n, s in plateaus.items()}, 0.55, 0.04).withColumnsRenamed({"variant": "_plateau", "top_score": "_plateau_top"})
+    drops, plateaus = ({n: F.round(one(s) + HALF_UP, 6) for n, s in of.items()} for of in (drops, plateaus))
+    scored = pick_variant(followed, drops, 0.62, 0.05).withColumnsRenamed({"variant": "_drop", "top_score": "_drop_top"})
+    scored = pick_variant(scored, plateaus, 0.55, 0.04).withColumnsRenamed({"variant": "_plateau", "top_score": "_plateau_top"})
     kind, rise, sure = c("type"), c("next_rise"), c("confidence")
     reset = kind.isin("breakdown", "pause_break") & (rise >= RESET_RISE)
     refined = F.when(kind == "drop", F.coalesce("_drop", kind)).when(kind == "no_drop_plateau", F.coalesce("_plateau", kind)).when(reset, "energy_reset").otherwise(kind)
@@ -71,7 +104,27 @@ def refine_candidates(events: DataFrame, rows: DataFrame, width: int, after: int
         .when(reset, F.least(F.lit(1.0), F.greatest(sure, rise * 0.5 + 0.55)))
         .otherwise(sure)
     )
-    return scored.withColumns({"refined": F.when((c("n") > 0) | ~kind.isin("drop", "no_drop_plateau"), refined).otherwise(kind), "refined_confidence": F.round(moved + HALF_UP, 6)})
+    weighed = c("n") > 0
+    candidate = lambda name, confidence, notes: F.struct(name.alias("type"), confidence.alias("confidence"), F.lit(notes).alias("notes"))
+    resets = F.array(candidate(F.lit("energy_reset"), clamped(rise + 0.55), RESET_NOTES[0]), candidate(kind, sure, RESET_NOTES[1]))
+    candidates = F.when((kind == "drop") & weighed, ranked_candidates(drops)).when((kind == "no_drop_plateau") & weighed, ranked_candidates(plateaus)).when(reset, resets)
+    taken = F.create_map(*[F.lit(x) for pair in VARIANT_NOTES.items() for x in pair])
+    keeps = c("_plateau").isNull() | (c("_plateau") == "no_drop_plateau")
+    note = (
+        F.when((kind == "drop") & weighed, F.coalesce(F.try_element_at(taken, c("_drop")), F.lit(KEEPS_DROP)))
+        .when((kind == "no_drop_plateau") & weighed, F.when(keeps, KEEPS_PLATEAU).otherwise(F.try_element_at(taken, c("_plateau"))))
+        .when(reset, RESETS)
+    )
+    given = c("intensity") if "intensity" in events.columns else F.lit(None).cast("double")
+    return scored.withColumns(
+        {
+            "refined": F.when(weighed | ~kind.isin("drop", "no_drop_plateau"), refined).otherwise(kind),
+            "refined_confidence": F.round(moved + HALF_UP, 6),
+            "refined_intensity": intensity_of(given, c("accent"), c("score"), c("bass"), c("n"), sure),
+            "candidates": candidates,
+            "note": note,
+        }
+    )
 
 
 def intensity_of(given: Column, accent: Column, energy: Column, bass: Column, n: Column, confidence: Column) -> Column:

@@ -38,20 +38,29 @@ NO_DROP_ENERGY = (350_000, 600_000)
 RELEASE_WITHIN = 2_000_000
 
 
-def with_thresholds(rows: DataFrame) -> DataFrame:
-    """rows with each dynamic threshold ``th_<name>``: mean and factor times sample deviation of the entity's
+def entity_thresholds(rows: DataFrame) -> DataFrame:
+    """(entity_id, entity_rows, th_<name>): each dynamic threshold is mean and factor times sample deviation of the entity's
     rows, no less (or no more) than the bound; with a single row both count as 0."""
-    whole = Window.partitionBy(ENTITY)
-    n, columns = F.count("*").over(whole), {}
+    n, sums, columns = F.col("entity_rows"), [F.count("*").alias("entity_rows")], {}
     for x in sorted({f for f, *_ in DYNAMIC.values()}):
-        s, q = F.sum(x).over(whole), F.sum((F.col(x).cast("decimal(18,0)") * F.col(x)).cast("decimal(37,0)")).over(whole).cast("decimal(38,0)")
-        wide = s.cast("decimal(38,0)")
-        columns[f"_m_{x}"] = F.when(n > 1, s / n).otherwise(0.0)
-        columns[f"_d_{x}"] = F.when(n > 1, F.sqrt((n.cast("decimal(38,0)") * q - wide * wide).cast("double") / (n * (n - 1)).cast("double"))).otherwise(0.0)
+        sums += [F.sum(x).alias(f"_s_{x}"), F.sum((F.col(x).cast("decimal(18,0)") * F.col(x)).cast("decimal(37,0)")).cast("decimal(38,0)").alias(f"_q_{x}")]
+        wide = F.col(f"_s_{x}").cast("decimal(38,0)")
+        columns[f"_m_{x}"] = F.when(n > 1, F.col(f"_s_{x}") / n).otherwise(0.0)
+        columns[f"_d_{x}"] = F.when(n > 1, F.sqrt((n.cast("decimal(38,0)") * F.col(f"_q_{x}") - wide * wide).cast("double") / (n * (n - 1)).cast("double"))).otherwise(0.0)
     value = lambda x, factor: F.col(f"_m_{x}") + F.lit(factor) * F.col(f"_d_{x}")
     bounds = {f"th_{name}": F.round((F.greatest if least else F.least)(F.lit(float(bound)), value(x, factor))).cast("long") for name, (x, factor, bound, least) in DYNAMIC.items()}
-    return rows.withColumns(columns).withColumns(bounds).drop(*columns)
+    return rows.groupBy(ENTITY).agg(*sums).withColumns(columns).withColumns(bounds).select(ENTITY, "entity_rows", *bounds)
+
+
+def with_thresholds(rows: DataFrame) -> DataFrame:
+    """rows with their entity's thresholds and number of rows. Statistics are partial sums by entity, joined back, so
+    an entity of any size is spread over tasks; rows are best a table, as they are read twice."""
+    return rows.join(entity_thresholds(rows), ENTITY)
+
 
+#: Columns of an event, and values of its first row that records quote.
+EVENT = [ENTITY, "type", "start_t", "end_t", "first_idx", "last_idx", "section", "confidence", "intensity"]
+ROW_VALUES = ["energy_delta", "z_onset", "z_bass_activation", "z_accent_intensity", "z_energy_score", "silence_gap", "tension_local"]
 
 #: Added before rounding to six digits: products of scores and weights that are halves in decimals are so only to
 #: the last bit.
@@ -96,17 +105,19 @@ def row_rules(pause_gap: int = PAUSE_GAP) -> list[Rule]:
 
 def events_of(rows: DataFrame, rules: list[Rule]) -> DataFrame:
     """Events of all rules: entity_id, type, start_t, end_t, first_idx, last_idx, section (at the start of the
-    first row), confidence, intensity. rows need idx, t, end_t, section and start_section."""
+    first row), confidence, intensity; the measures a and b, and ``row``, what records say of the first row and its
+    thresholds. rows need idx, t, end_t, section and start_section."""
     table = F.array_compact(F.array(*[F.when(r.when, F.struct(F.lit(r.kind).alias("type"), F.lit(r.merge).alias("merge"), r.measures[0].cast("double").alias("a"), r.measures[1].cast("double").alias("b"))) for r in rules]))
-    hits = rows.select(ENTITY, "idx", "t", "end_t", "section", "start_section", F.explode(table).alias("_r")).select("*", "_r.*").drop("_r")
+    told = F.struct(*[c for c in [*ROW_VALUES, *[f"th_{n}" for n in DYNAMIC]] if c in rows.columns])
+    hits = rows.select(ENTITY, "idx", "t", "end_t", "section", "start_section", told.alias("row"), F.explode(table).alias("_r")).select("*", "_r.*").drop("_r")
     place = F.row_number().over(Window.partitionBy(ENTITY, "type", "section").orderBy("idx"))
     islands = hits.withColumn("_k", F.when(F.col("merge"), F.col("idx") - place).otherwise(F.col("idx")))
     whole = islands.groupBy(ENTITY, "type", "section", "_k", "merge").agg(
-        F.min("t").alias("start_t"), F.max("end_t").alias("end_t"), F.min("idx").alias("first_idx"), F.max("idx").alias("last_idx"), F.min_by("start_section", "idx").alias("_s"), (F.sum("a") / F.count("*")).alias("_a"), (F.sum("b") / F.count("*")).alias("_b")
+        F.min("t").alias("start_t"), F.max("end_t").alias("end_t"), F.min("idx").alias("first_idx"), F.max("idx").alias("last_idx"), F.min_by("start_section", "idx").alias("_s"), F.min_by("row", "idx").alias("row"), (F.sum("a") / F.count("*")).alias("_a"), (F.sum("b") / F.count("*")).alias("_b")
     )
     whole = whole.withColumns({m: F.when(F.col("merge"), F.round(m)).otherwise(F.col(m)) for m in ("_a", "_b")})
     pick = lambda what: F.coalesce(*[F.when(F.col("type") == r.kind, clamped(getattr(r, what)(F.col("_a"), F.col("_b")))) for r in rules])
-    return whole.select(ENTITY, "type", "start_t", "end_t", "first_idx", "last_idx", F.col("_s").alias("section"), pick("confidence").alias("confidence"), pick("intensity").alias("intensity"))
+    return whole.select(*EVENT[:-3], F.col("_s").alias("section"), pick("confidence").alias("confidence"), pick("intensity").alias("intensity"), F.col("_a").alias("a"), F.col("_b").alias("b"), "row")
 
 
 def rule_candidates(rows: DataFrame, pause_gap: int = PAUSE_GAP, release_within: int = RELEASE_WITHIN) -> DataFrame:
@@ -120,7 +131,7 @@ def rule_candidates(rows: DataFrame, pause_gap: int = PAUSE_GAP, release_within:
 
 def section_candidates(rows: DataFrame, events: DataFrame) -> DataFrame:
     """States of whole sections: groove_loop, atmospheric_plateau, tension_hold and no_drop_plateau, with the
-    section's first and last row as the event's window."""
+    section's first and last row as the event's window; ``row`` has the section's means and thresholds."""
     mean = lambda x: F.round(F.sum(x) / F.count("*")).cast("long")
     cards = rows.where("section is not null").groupBy(ENTITY, "section").agg(
         mean("z_energy_score").alias("energy"), mean("z_onset").alias("onset"), mean("z_bass_activation").alias("bass"), mean("tension").alias("tension"),
@@ -138,4 +149,5 @@ def section_candidates(rows: DataFrame, events: DataFrame) -> DataFrame:
         ("no_drop_plateau", c("has_build") & ~c("has_drop") & c("energy").between(*NO_DROP_ENERGY), t * 0.25 + e * 0.15 + 0.4, e),
     ]
     table = F.array_compact(F.array(*[F.when(when, F.struct(F.lit(kind).alias("type"), clamped(confidence).alias("confidence"), clamped(intensity).alias("intensity"))) for kind, when, confidence, intensity in states]))
-    return joined.select(ENTITY, "section", "start_t", "end_t", "first_idx", "last_idx", F.explode(table).alias("_s")).select(ENTITY, "_s.type", "start_t", "end_t", "first_idx", "last_idx", "section", "_s.confidence", "_s.intensity")
+    told = F.struct("energy", "onset", "bass", "tension", "volatility", "th_groove_energy", "th_atmo_energy", "th_hold_tension")
+    return joined.select(ENTITY, "section", "start_t", "end_t", "first_idx", "last_idx", told.alias("row"), F.explode(table).alias("_s")).select(ENTITY, "_s.type", "start_t", "end_t", "first_idx", "last_idx", "section", "_s.confidence", "_s.intensity", "row")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import sys
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import beat_features, joins, rule_events, windows
 from ..operators.beat_features import FEATURES, Tracks
+from ..sources.artifacts import code_of, reusable
 from ..sources.tables import artifact
 from .registry import HOUR, TL, query
 from .timeline_queries import E, rows_of
@@ -99,8 +102,13 @@ DERIVED_COLUMNS = ["energy_delta", "density_delta", "vocal_stem_delta", "vocal_f
 
 
 def derived_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feature layer, an artifact that all later steps read."""
-    return artifact(beat_features.derived(beat_features.scored(wide_rows(spark, sf_dir))), "features")
+    """The feature layer, an artifact that later steps and later runs read."""
+    code = code_of(beat_features, joins, windows, sys.modules[__name__])
+
+    def make() -> DataFrame:
+        return beat_features.derived(beat_features.scored(artifact(wide_rows(spark, sf_dir), "wide-rows")))
+
+    return reusable(spark, "features", make, [f"{sf_dir}/events.parquet"], {"code": code})
 
 
 @query("derived_features", f"WITH {DERIVED} SELECT event_id, {', '.join([f'z_{f}' for f in FEATURES] + DERIVED_COLUMNS)} FROM d")
@@ -124,14 +132,13 @@ def rule_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rule_events.with_thresholds(derived_rows(spark, sf_dir))
     sections = tracks_of(beats_of(spark, sf_dir)).sections
     placed = joins.containing(rows, sections, fallback_last=True).withColumn("start_section", F.col("inside.section")).drop("inside")
-    count, score = F.count("*").over(Window.partitionBy(E)), F.col("z_energy_score")
+    count, score = F.col("entity_rows"), F.col("z_energy_score")
     return artifact(placed.withColumn("cluster", F.when(count <= 10, 2).when(score < -400_000, 0).when(score < 600_000, 1).otherwise(2)), "rule-rows")
 
 
 @query("rule_thresholds", f"WITH {THRESHOLDS} SELECT entity_id, {', '.join(f'th_{n}' for n in rule_events.DYNAMIC)} FROM th")
 def rule_thresholds(spark, sf_dir):
-    rows = rule_events.with_thresholds(derived_rows(spark, sf_dir))
-    return rows.groupBy(E).agg(*[F.max(f"th_{n}").alias(f"th_{n}") for n in rule_events.DYNAMIC])
+    return rule_events.entity_thresholds(derived_rows(spark, sf_dir)).drop("entity_rows")
 
 
 def _islands(kind: str, when: str, a: str, b: str, confidence: str, intensity: str) -> str:
@@ -158,7 +165,7 @@ events_ AS (SELECT * FROM rc WHERE type <> '_fake' UNION ALL SELECT p.* REPLACE
 
 @query("rule_candidates", f"WITH {CANDIDATES} SELECT * FROM events_")
 def rule_candidates(spark, sf_dir):
-    return rule_events.rule_candidates(rule_rows(spark, sf_dir), release_within=2 * DAY)
+    return rule_events.rule_candidates(rule_rows(spark, sf_dir), release_within=2 * DAY).select(rule_events.EVENT)
 
 
 _STATES = [
@@ -169,14 +176,14 @@ _STATES = [
 ]
 
 
-@query(
-    "section_candidates",
-    f"""WITH {CANDIDATES}, cards AS (SELECT entity_id, section, {', '.join(f'round(sum({x})::DOUBLE / count(*))::BIGINT AS {n}' for x, n in (('z_energy_score', 'energy'), ('z_onset', 'onset'), ('z_bass_activation', 'bass'), ('tension', 'tension')))}, max(z_energy_score) - min(z_energy_score) AS volatility,
+STATES = f"""cards AS (SELECT entity_id, section, {', '.join(f'round(sum({x})::DOUBLE / count(*))::BIGINT AS {n}' for x, n in (('z_energy_score', 'energy'), ('z_onset', 'onset'), ('z_bass_activation', 'bass'), ('tension', 'tension')))}, max(z_energy_score) - min(z_energy_score) AS volatility,
   min(t) AS start_t, max(end_t) AS end_t, min(idx) AS first_idx, max(idx) AS last_idx, max(th_groove_energy) AS th_groove_energy, max(th_atmo_energy) AS th_atmo_energy, max(th_hold_tension) AS th_hold_tension FROM f WHERE section IS NOT NULL GROUP BY 1, 2),
 flags AS (SELECT entity_id, section, max(type = 'build') AS has_build, max(type = 'drop') AS has_drop FROM events_ WHERE section IS NOT NULL GROUP BY 1, 2),
-both_ AS (SELECT cards.*, coalesce(has_build, false) AS has_build, coalesce(has_drop, false) AS has_drop FROM cards LEFT JOIN flags USING (entity_id, section))
-{' UNION ALL '.join(f"SELECT entity_id, '{kind}' AS type, start_t, end_t, first_idx, last_idx, section, round(greatest(0::DOUBLE, least(1::DOUBLE, {c})) + 1e-9::DOUBLE, 6) AS confidence, round(greatest(0::DOUBLE, least(1::DOUBLE, {i})) + 1e-9::DOUBLE, 6) AS intensity FROM both_ WHERE {when}" for kind, when, c, i in _STATES)}""",
-)
+both_ AS (SELECT cards.*, coalesce(has_build, false) AS has_build, coalesce(has_drop, false) AS has_drop FROM cards LEFT JOIN flags USING (entity_id, section)),
+states AS ({' UNION ALL '.join(f"SELECT entity_id, '{kind}' AS type, start_t, end_t, first_idx, last_idx, section, round(greatest(0::DOUBLE, least(1::DOUBLE, {c})) + 1e-9::DOUBLE, 6) AS confidence, round(greatest(0::DOUBLE, least(1::DOUBLE, {i})) + 1e-9::DOUBLE, 6) AS intensity FROM both_ WHERE {when}" for kind, when, c, i in _STATES)})"""
+
+
+@query("section_candidates", f"WITH {CANDIDATES}, {STATES} SELECT * FROM states")
 def section_candidates(spark, sf_dir):
     rows = rule_rows(spark, sf_dir)
-    return rule_events.section_candidates(rows, artifact(rule_events.rule_candidates(rows, release_within=2 * DAY), "rule-candidates"))
+    return rule_events.section_candidates(rows, artifact(rule_events.rule_candidates(rows, release_within=2 * DAY), "rule-candidates")).select(rule_events.EVENT)

@@ -29,7 +29,7 @@ def _up(x: str) -> str:
 
 
 _DROP = {
-    "drop_explode": f"accent * 0.4::DOUBLE + {_one('delta * 2::DOUBLE')} * 0.25::DOUBLE + 0::DOUBLE * 0.2::DOUBLE + onset * 0.15::DOUBLE",
+    "drop_explode": f"accent * 0.4::DOUBLE + {_one('delta * 2::DOUBLE')} * 0.25::DOUBLE + spectral_rise * 0.2::DOUBLE + onset * 0.15::DOUBLE",
     "drop_groove": f"bass * 0.4::DOUBLE + energy * 0.3::DOUBLE + onset * 0.2::DOUBLE + {_up('1 - accent')} * 0.1::DOUBLE",
     "drop_punch": f"accent * 0.5::DOUBLE + {_one('delta * 2::DOUBLE')} * 0.3::DOUBLE + {_up('1 - energy')} * 0.2::DOUBLE",
     "soft_release": f"{_up('0.75::DOUBLE - accent')} * 0.4::DOUBLE + energy * 0.35::DOUBLE + {_up('0.55::DOUBLE - onset')} * 0.25::DOUBLE",
@@ -59,7 +59,7 @@ _HELD = {"delta": "energy_delta", "accent": "z_accent_intensity", "bass": "z_bas
 @query(
     "refined_events",
     f"""WITH {CANDIDATES}, {_SPANS}, {_means('ev', 'h', 'event_key', 'w.start_t', 'w.end_t', _HELD)}, {_means('ev', 'x', 'event_key', 'w.end_t', f'w.end_t + {DAY}', {'rise': 'greatest(0, energy_delta)'}, 'next_')},
-j AS (SELECT ev.*, coalesce(n, 0) AS n, {', '.join(f'coalesce({m}, 0) AS {m}' for m in _HELD)}, coalesce(next_rise, 0) AS rise FROM ev LEFT JOIN h USING (entity_id, event_key) LEFT JOIN x USING (entity_id, event_key)),
+j AS (SELECT ev.*, 0::DOUBLE AS spectral_rise, coalesce(n, 0) AS n, {', '.join(f'coalesce({m}, 0) AS {m}' for m in _HELD)}, coalesce(next_rise, 0) AS rise FROM ev LEFT JOIN h USING (entity_id, event_key) LEFT JOIN x USING (entity_id, event_key)),
 s AS (SELECT *, {_top(_DROP, 'd')}, {_top(_PLATEAU, 'p')} FROM j), v AS (SELECT *, {_variant(_DROP, 'd', 0.62, 0.05)}, {_variant(_PLATEAU, 'p', 0.55, 0.04)}, type IN ('breakdown', 'pause_break') AND rise >= 0.18::DOUBLE AS reset FROM s)
 SELECT entity_id, event_key, CASE WHEN n > 0 AND type = 'drop' THEN coalesce(dv, type) WHEN n > 0 AND type = 'no_drop_plateau' THEN coalesce(pv, type) WHEN reset THEN 'energy_reset' ELSE type END AS refined,
   round(CASE WHEN type = 'drop' AND n > 0 THEN least(1::DOUBLE, confidence + (dt - 0.5::DOUBLE) * 0.15::DOUBLE) WHEN type = 'no_drop_plateau' AND n > 0 THEN least(1::DOUBLE, greatest(confidence, pt * 0.9::DOUBLE)) WHEN reset THEN least(1::DOUBLE, greatest(confidence, rise * 0.5::DOUBLE + 0.55::DOUBLE)) ELSE confidence END + 1e-9::DOUBLE, 6) AS refined_confidence FROM v""",
