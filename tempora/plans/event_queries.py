@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import canonical_label, clock, cosine, html_escape, keyword_labels, ladder, normal_chord, note_name, overlap, timing_direction
@@ -230,11 +231,12 @@ def hint_alignment(spark, sf_dir):
     hints = rows_of(spark, sf_dir, "signup").select(E, F.col("event_id").alias("a_id"), F.col("t").alias("a_start"), (F.col("t") + 24 * HOUR).alias("a_end"))
     others = rows_of(spark, sf_dir).where("label <> 'signup'").select(E, F.col("event_id").alias("b_id"), F.col("t").alias("b_start"), (F.col("t") + 6 * HOUR).alias("b_end"))
     pairs = joins.overlapping(hints, others, 24 * HOUR)
-    listed = F.array_sort(F.collect_list(F.struct("b_start", "b_id")))
-    return pairs.groupBy(E, "a_id").agg(
+    place = F.row_number().over(Window.partitionBy(E, "a_id").orderBy("b_start", "b_id"))
+    listed = F.array_sort(F.collect_list(F.when(F.col("_place") <= 12, F.struct("b_start", "b_id"))))  # no list is longer
+    return pairs.withColumn("_place", place).groupBy(E, "a_id").agg(
         F.count("*").alias("n"),
         F.max_by("b_id", F.struct("shared", -F.col("b_start"), -F.col("b_id"))).alias("primary_id"),
-        F.array_join(F.transform(F.slice(listed, 1, 12), lambda x: x.b_id.cast("string")), ",").alias("first_ids"),
+        F.array_join(F.transform(listed, lambda x: x.b_id.cast("string")), ",").alias("first_ids"),
     )
 
 
@@ -395,12 +397,18 @@ def stream_distinct(spark, sf_dir):
     return streams.run(streams.distinct_events(_stream(spark, sf_dir), "1 hour")).select("event_id", "user_id")
 
 
-@query("stream_cooldown", SQL["cooldown_accents"].replace("energy >= 3000", "true"))
+@query("stream_cooldown", f"SELECT * FROM ({SQL['cooldown_accents'].replace('energy >= 3000', 'true')}) WHERE (t + 999) // 1000 < (SELECT max(epoch_ms(ts)) - {HOUR // 1000} FROM events)")
 def stream_cooldown(spark, sf_dir):
+    """Events behind the last watermark are decided; those within the hour before the last event still wait."""
     kept = streams.run(streams.cooldown(_stream(spark, sf_dir), 24 * 3600.0))
     return kept.select(F.col("user_id").alias(E), "event_id", F.unix_micros("ts").alias("t"))
 
 
+@query("stream_sliding", f"""WITH w AS (SELECT time_bucket(INTERVAL 6 HOURS, ts) - i * INTERVAL 6 HOURS AS start_ts, event_type, count(*) AS n FROM events, range(4) AS r(i) GROUP BY 1, 2) SELECT epoch_us(start_ts) AS start_us, event_type, n FROM w WHERE {_closed(24 * HOUR)}""")
+def stream_sliding(spark, sf_dir):
+    return streams.run(streams.sliding(_stream(spark, sf_dir), "24 hours", "6 hours", "1 hour")).select(F.unix_micros("start_ts").alias("start_us"), "event_type", "n")
+
+
 @query("stream_sessions", f"""WITH o AS (SELECT *, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) <= {12 * HOUR} THEN 0 ELSE 1 END AS new FROM events),
 s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM o), g AS (SELECT user_id, min(epoch_us(ts)) AS start_us, max(epoch_us(ts)) + {12 * HOUR} AS end_us, count(*) AS n FROM s GROUP BY user_id, s) SELECT * FROM g WHERE end_us <= (SELECT max(epoch_us(ts)) - {HOUR} FROM events)""")
 def stream_sessions(spark, sf_dir):

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..sources.tables import artifact_dir
+
 
 def event_stream(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
     """Parquet files of events as a stream; ts as TIMESTAMP, which watermarks need."""
@@ -39,39 +41,53 @@ def distinct_events(events: DataFrame, late: str, key: str = "event_id") -> Data
     return events.withWatermark("ts", late).dropDuplicatesWithinWatermark([key])
 
 
-def cooldown(events: DataFrame, gap_s: float, by: str = "user_id") -> DataFrame:
-    """Events kept greedily in arrival order by time: each at least gap_s after the last kept of its
-    key. State is one number for each key."""
+def _milli_up(us: int) -> int:
+    return -(-us // 1000)
+
+
+def cooldown(events: DataFrame, gap_s: float, late: str = "1 hour", by: str = "user_id") -> DataFrame:
+    """Events kept greedily in order of time: each at least gap_s after the last kept of its key. Events may come in any
+    order within the watermark: each waits in its key's state until the watermark is past it, by a timer where no other event
+    of the key comes, and then its turn comes in order of time and event_id. Events behind the watermark are dropped. A key's state is the events that wait and
+    one time; once nothing waits and the time is a gap behind the watermark, a timer clears it."""
+    gap = round(gap_s * 1_000_000)
 
     def keep(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
+        last, waiting = None, []
+        if state.exists:
+            last, times, ids = state.get
+            waiting = list(zip(map(int, times), map(int, ids)))
+        passed = state.getCurrentWatermarkMs()
+        if not state.hasTimedOut:
+            for pdf in batches:
+                waiting += [(at, event) for at, event in zip(pdf["us"].tolist(), pdf["event_id"].tolist()) if _milli_up(at) >= passed]
+        due = sorted(e for e in waiting if _milli_up(e[0]) < passed)
+        waiting = [e for e in waiting if _milli_up(e[0]) >= passed]
         out = []
-        for row in pd.concat(list(batches)).sort_values(["ts", "event_id"]).itertuples(index=False):
-            at = row.ts.timestamp()
-            if last is None or at - last >= gap_s:
+        for at, event in due:
+            if last is None or at - last >= gap:
                 last = at
-                out.append((key[0], row.event_id, row.ts))
-        state.update((last,))
-        yield pd.DataFrame(out, columns=[by, "event_id", "ts"])
+                out.append((key[0], event, at))
+        if waiting or (last is not None and _milli_up(last + gap) >= passed):
+            state.update((last, [at for at, _ in waiting], [event for _, event in waiting]))
+            state.setTimeoutTimestamp(max(passed + 1, min(_milli_up(at) for at, _ in waiting) if waiting else _milli_up(last + gap)))
+        elif state.exists:
+            state.remove()
+        if out:
+            yield pd.DataFrame(out, columns=[by, "event_id", "us"])
 
-    return events.groupBy(by).applyInPandasWithState(keep, f"{by} long, event_id long, ts timestamp", "last double", "append", GroupStateTimeout.NoTimeout)
+    timed = events.withWatermark("ts", late).select(by, "event_id", "ts", F.unix_micros("ts").alias("us"))
+    kept = timed.groupBy(by).applyInPandasWithState(keep, f"{by} long, event_id long, us long", "last long, times array<long>, ids array<long>", "append", GroupStateTimeout.EventTimeTimeout)
+    return kept.select(by, "event_id", F.timestamp_micros("us").alias("ts"))
 
 
-def run(stream: DataFrame, mode: str = "append") -> DataFrame:
+def run(stream: DataFrame, mode: str = "append", progress: list | None = None) -> DataFrame:
     """Everything a stream emits over the files there are, as a table written batch by batch. Its
-    state and output lie in the session's checkpoint folder, or one of its own where that is unset."""
+    state and output lie in the folder that all executors share. ``progress`` gets the last batch's."""
     spark = stream.sparkSession
-    sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not base:
-        import atexit
-        import shutil
-        import tempfile
-
-        base = tempfile.mkdtemp(prefix="tempora-stream-")
-        atexit.register(shutil.rmtree, base, ignore_errors=True)
-        sc.setCheckpointDir(base)
-    place = f"{base}/stream-{uuid.uuid4().hex}"
+    place = f"{artifact_dir(spark)}/stream-{uuid.uuid4().hex}"
     query = stream.writeStream.outputMode(mode).format("parquet").option("checkpointLocation", f"{place}/state").option("path", f"{place}/out").trigger(availableNow=True).start()
     query.awaitTermination()
+    if progress is not None:
+        progress.append(query.lastProgress)
     return spark.read.schema(stream.schema).parquet(f"{place}/out")
