@@ -46,14 +46,14 @@ def levels(rows: DataFrame, x: str, low: float = 1 / 3, high: float = 2 / 3) ->
 def trends(rows: DataFrame, by: list[str], x: str, rise: int) -> DataFrame:
     """Trend of the ordered values of each group: build or release if the mean of the last third is
     that much above or below the first third's, plateau if the spread is small, else wave."""
-    g = rows.groupBy(ENTITY, *by).agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", x))), lambda r: r[x]).alias("_v"))
-    third = F.floor(F.size("_v") / 3).cast("int")
-    total = lambda a: F.aggregate(a, F.lit(0).cast("bigint"), lambda s, v: s + v)
-    first, last = total(F.slice("_v", 1, F.greatest(third, F.lit(1)))), total(F.slice("_v", F.size("_v") - F.greatest(third, F.lit(1)) + 1, F.greatest(third, F.lit(1))))
-    change = last - first
-    bound = F.lit(rise) * F.greatest(third, F.lit(1))
-    label = F.when(change >= bound, "build").when(change <= -bound, "release").when(F.array_max("_v") - F.array_min("_v") <= rise, "plateau").otherwise("wave")
-    return g.select(ENTITY, *by, F.size("_v").alias("n"), label.alias("trend"))
+    w = Window.partitionBy(ENTITY, *by)
+    placed = rows.withColumns({"_up": F.row_number().over(w.orderBy("idx")), "_down": F.row_number().over(w.orderBy(F.desc("idx")))})
+    third = F.greatest(F.floor((F.col("_up") + F.col("_down") - 1) / 3), F.lit(1))
+    part = lambda rank: F.coalesce(F.sum(F.when(F.col(rank) <= third, F.col(x))), F.lit(0))
+    g = placed.groupBy(ENTITY, *by).agg(F.count("*").alias("n"), (part("_down") - part("_up")).alias("_change"), (F.max(x) - F.min(x)).alias("_spread"))
+    bound = F.lit(rise) * F.greatest(F.floor(F.col("n") / 3), F.lit(1))
+    label = F.when(F.col("_change") >= bound, "build").when(F.col("_change") <= -bound, "release").when(F.col("_spread") <= rise, "plateau").otherwise("wave")
+    return g.select(ENTITY, *by, F.col("n").cast("int").alias("n"), label.alias("trend"))
 
 
 def lines(tokens: DataFrame, line: str, text: str, by: str = ENTITY) -> DataFrame:

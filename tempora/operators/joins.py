@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import overlap, overlap_ratio
+from .windows import decided_chunks
 
 ENTITY = "entity_id"
 
@@ -120,8 +121,8 @@ def greedy_matches(expected: DataFrame, actual: DataFrame, tolerance: int) -> Da
     """One-to-one matches of typed intervals (id, type, start_t, end_t) within an entity, expected
     ones in time order: of unused actual ones of the type that start or end within the tolerance,
     the one of best overlap ratio, the first on a tie. Rows: entity_id, expected_id, actual_id;
-    either is null for a miss or a false positive. Grouped per entity in pandas, as each choice depends
-    on those before."""
+    either is null for a miss or a false positive. Each choice depends on those before, but not across a stretch of more than the
+    tolerance in which nothing is: an entity is cut there, and its chunks are matched apart in pandas."""
     import pandas as pd
 
     def match(left, right):
@@ -154,17 +155,26 @@ def greedy_matches(expected: DataFrame, actual: DataFrame, tolerance: int) -> Da
         out += [(entity, None, a.id) for a in actuals if a.id not in used]
         return pd.DataFrame(out, columns=[ENTITY, "expected_id", "actual_id"]).astype({"expected_id": "Int64", "actual_id": "Int64"})
 
-    return expected.groupBy(ENTITY).cogroup(actual.groupBy(ENTITY)).applyInPandas(match, f"{ENTITY} long, expected_id long, actual_id long")
+    left, right = _apart(expected, actual, tolerance, ["start_t", "id"], "end_t")
+    return left.groupBy(ENTITY, "chunk").cogroup(right.groupBy(ENTITY, "chunk")).applyInPandas(match, f"{ENTITY} long, expected_id long, actual_id long")
+
+
+def _apart(left: DataFrame, right: DataFrame, tolerance: int, by: list[str], end: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the chunk that their rows lie in together."""
+    both = left.withColumn("_left", F.lit(True)).unionByName(right.select(left.columns).withColumn("_left", F.lit(False)))
+    cut = decided_chunks(both, end, tolerance, by)
+    return cut.where("_left").drop("_left"), cut.where("not _left").drop("_left")
 
 
 def match_boundaries(reference: DataFrame, inferred: DataFrame, tolerance: int) -> DataFrame:
     """Two sorted boundary lists (t) walked together: match within the tolerance, else the earlier
-    is missed (reference) or extra (inferred). The first boundary of each side is dropped."""
+    is missed (reference) or extra (inferred). The first boundary of each side is dropped. An entity is cut where nothing is for more than
+    the tolerance, and its chunks are walked apart."""
     import pandas as pd
 
     def walk(left, right):
         entity = (left if len(left) else right)[ENTITY].iloc[0]
-        a, b, out, i, j = sorted(left["t"])[1:], sorted(right["t"])[1:], [], 0, 0
+        a, b, out, i, j = sorted(left["t"]), sorted(right["t"]), [], 0, 0
         while i < len(a) or j < len(b):
             if i < len(a) and j < len(b) and abs(a[i] - b[j]) <= tolerance:
                 out.append((entity, "match", a[i], b[j]))
@@ -177,7 +187,9 @@ def match_boundaries(reference: DataFrame, inferred: DataFrame, tolerance: int)
                 j += 1
         return pd.DataFrame(out, columns=[ENTITY, "result", "reference_t", "inferred_t"]).astype({"reference_t": "Int64", "inferred_t": "Int64"})
 
-    return reference.groupBy(ENTITY).cogroup(inferred.groupBy(ENTITY)).applyInPandas(walk, f"{ENTITY} long, result string, reference_t long, inferred_t long")
+    later = lambda df: df.select(ENTITY, "t", F.row_number().over(Window.partitionBy(ENTITY).orderBy("t")).alias("_n")).where("_n > 1").drop("_n")
+    left, right = _apart(later(reference), later(inferred), tolerance, ["t"], "t")
+    return left.groupBy(ENTITY, "chunk").cogroup(right.groupBy(ENTITY, "chunk")).applyInPandas(walk, f"{ENTITY} long, result string, reference_t long, inferred_t long")
 
 
 __all__ = ["as_of", "best_overlap", "containing", "coverage", "first_overlap", "greedy_matches", "in_range", "match_boundaries", "nearest", "neighbours", "overlap_ratio", "overlapping"]

@@ -11,10 +11,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .windows import ENTITY, changed, order
+from .windows import ENTITY, changed, decided_chunks, order
 
 
 #: Weights of a repeated sequence: bars covered, its length, its count, a length of four, a differing beat. Fixed
@@ -51,32 +52,55 @@ def islands(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
     return keyed.groupBy(ENTITY, *by, "_k").agg(F.min("idx").alias("first_idx"), F.max("idx").alias("last_idx"), F.min("t").alias("start_t"), F.max("t").alias("last_t"), F.count("*").alias("n_rows")).drop("_k")
 
 
+def kept_rows(t: np.ndarray, first: np.ndarray, gap: int, strict: bool, last: int | None) -> tuple[np.ndarray, int]:
+    """Places of the rows that a greedy cooldown keeps of times in order, ``first`` marking the first row of each entity; ``last`` is the time
+    last kept of the entity that the first row goes on with. Rows far enough behind the row before are kept at once; only
+    between those the choice jumps from one kept row to the next."""
+    side = "right" if strict else "left"
+    step = np.diff(t, prepend=t[:1])
+    fresh = first | ((step > gap) if strict else (step >= gap))
+    fresh[0] = first[0] or last is None
+    keep = fresh.copy()
+    heads = np.flatnonzero(fresh)
+    runs = [] if fresh[0] else [(0, int(heads[0]) if len(heads) else len(t), last)]
+    ends = np.append(heads[1:], len(t))
+    long = ends - heads > 1
+    runs += [(int(a) + 1, int(b), int(t[a])) for a, b in zip(heads[long], ends[long])]
+    for at, end, before in runs:
+        while True:
+            at += int(np.searchsorted(t[at:end], before + gap, side))
+            if at >= end:
+                break
+            keep[at], before = True, int(t[at])
+            at += 1
+    places = np.flatnonzero(keep)
+    since = np.flatnonzero(first)
+    recent = places[places >= since[-1]] if len(since) else places
+    return places, int(t[recent[-1]]) if len(recent) else last
+
+
 def cooldown(rows: DataFrame, gap: int, strict: bool = False, keep: list[str] | None = None) -> DataFrame:
     """Rows kept greedily in time order: the first, then each at least ``gap`` (more than, if
-    strict) after the last kept.
-
-    A row that far behind the row before it is kept whatever came before, so an entity is cut there and its
-    parts are dealt out apart. A task streams its rows and remembers one time."""
-    keep = keep or []
-    w = Window.partitionBy(ENTITY).orderBy("t", "event_id")
-    step = F.col("t") - F.lag("t").over(w)
-    fresh = (step > gap) if strict else (step >= gap)
-    cut = rows.select(ENTITY, "t", "event_id", *keep).withColumn("_part", F.sum(F.when(fresh, 1).otherwise(0)).over(w))
+    strict) after the last kept. One shuffle by entity; a task streams its sorted rows and remembers one time."""
+    out = [ENTITY, "t", "event_id", *(keep or [])]
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    dealt = cut.repartition(n, ENTITY, "_part").sortWithinPartitions(ENTITY, "_part", "t", "event_id")
-    out = [ENTITY, "t", "event_id", *keep]
+    dealt = rows.select(out).repartition(n, ENTITY).sortWithinPartitions(ENTITY, "t", "event_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, last = None, None
+        before, last = None, None
         for batch in batches:
-            chosen = []
-            for i, (entity, part, t) in enumerate(zip(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (ENTITY, "_part", "t")])):
-                if (entity, part) != group or t - last > gap or (t - last == gap and not strict):
-                    group, last = (entity, part), t
-                    chosen.append(i)
-            yield batch.select(out).take(pa.array(chosen, pa.int64()))
-
-    kinds = {f.name: f.dataType.simpleString() for f in cut.schema.fields}
+            if not batch.num_rows:
+                continue
+            own = batch.column(0)
+            follows = pc.equal(own.slice(1), own.slice(0, len(own) - 1))
+            both_null = pc.and_(pc.is_null(own.slice(1)), pc.is_null(own.slice(0, len(own) - 1)))
+            start = before is None or before[0] != own[0].as_py()
+            first = np.concatenate([[start], ~pc.or_(pc.fill_null(follows, False), both_null).to_numpy(zero_copy_only=False)])
+            places, last = kept_rows(batch.column(1).to_numpy(zero_copy_only=False), first, gap, strict, last)
+            before = (own[len(own) - 1].as_py(),)
+            yield batch.take(pa.array(places))
+
+    kinds = {f.name: f.dataType.simpleString() for f in dealt.schema.fields}
     return dealt.mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in out))
 
 
@@ -220,10 +244,11 @@ def distinct_notes(notes: DataFrame, within: int, look_back: int = 12, pitch_gap
     """Notes (t, pitch, priority, confidence, event_id) without near repeats: in order of time,
     priority and falling confidence, a note within the time and pitch gap of one of the last
     ``look_back`` kept, the latest first, is dropped, or takes its place if of better priority, or
-    equal and of higher confidence."""
+    equal and of higher confidence. Notes farther apart than ``within`` do not meet, so an entity is cut at such gaps, and its chunks are
+    thinned apart."""
 
     def thin(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["t", "priority", "confidence", "event_id"], ascending=[True, True, False, True])
+        pdf = pdf.drop(columns="chunk").sort_values(["t", "priority", "confidence", "event_id"], ascending=[True, True, False, True])
         kept: list[tuple] = []
         names = list(pdf.columns)
         t, p, r, c = (names.index(x) for x in ("t", "pitch", "priority", "confidence"))
@@ -238,7 +263,7 @@ def distinct_notes(notes: DataFrame, within: int, look_back: int = 12, pitch_gap
                 kept.append(note)
         return pd.DataFrame(kept, columns=names).sort_values(["t", "pitch", "event_id"])
 
-    return notes.groupBy(ENTITY).applyInPandas(thin, notes.schema)
+    return decided_chunks(notes, "t", within, ["t", "event_id"]).groupBy(ENTITY, "chunk").applyInPandas(thin, notes.schema)
 
 
 def prototypes(vectors: DataFrame, least: float = 0.97, vector: str = "vector") -> DataFrame:

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import joins
 from .windows import ENTITY
 
 #: Bounds in thousandths. Fixed values, as are the labels and the numbers in the conditions below.
@@ -41,16 +42,17 @@ def split_at_breaks(sections: DataFrame, breaks: DataFrame) -> DataFrame:
     """Sections (section, start_t, end_t, label, confidence) with the first break of three or four bars strictly
     inside each set apart: left, break and right part, numbered anew. Shorter breaks change nothing."""
     c = F.col
-    wide = breaks.where("bar_count >= 3").select(c(ENTITY).alias("_e"), c("start_t").alias("_s"), c("end_t").alias("_t"), "break_type")
-    inside = sections.join(wide, (c(ENTITY) == c("_e")) & (c("start_t") < c("_s")) & (c("_t") < c("end_t")))
-    first = inside.groupBy(ENTITY, "section").agg(F.min(F.struct("_s", "_t", "break_type")).alias("_b"))
+    wide = breaks.where("bar_count >= 3").select(ENTITY, c("start_t").alias("_s"), c("end_t").alias("_t"), "break_type")
+    # sections do not overlap, so a break starts in one at most
+    held = joins.containing(wide, sections.select(ENTITY, "section", "start_t", "end_t"), time="_s").where((c("inside._at") < c("_s")) & (c("_t") < c("inside.end_t")))
+    first = held.groupBy(ENTITY, c("inside.section").alias("section")).agg(F.min(F.struct("_s", "_t", "break_type")).alias("_b"))
     part = lambda start, end, label, sure: F.struct(start.alias("start_t"), end.alias("end_t"), label.alias("label"), sure.alias("confidence"))
     weaker = F.round(F.greatest(F.lit(0.4), c("confidence") * 0.8), 6)
     own = (c("label"), c("confidence"))
     parts = F.when(c("_b").isNull(), F.array(part(c("start_t"), c("end_t"), *own))).otherwise(F.array(part(c("start_t"), c("_b._s"), *own), part(c("_b._s"), c("_b._t"), c("_b.break_type"), weaker), part(c("_b._t"), c("end_t"), *own)))
     out = sections.join(first, [ENTITY, "section"], "left").select(ENTITY, F.explode(parts).alias("_p")).select(ENTITY, "_p.*")
     number = F.row_number().over(Window.partitionBy(ENTITY).orderBy("start_t", "end_t"))
-    return out.withColumn("section_id", F.concat(F.lit("section-"), F.lpad(number.cast("string"), 3, "0")))
+    return out.withColumn("section_id", F.format_string("section-%03d", number))
 
 
 def internal_splits(bars: DataFrame) -> DataFrame:
@@ -124,27 +126,19 @@ def merge_groups(blocks: DataFrame, groups: DataFrame, size: int) -> DataFrame:
     return merged.withColumn("_length", length).withColumn("vector", F.transform(vector, lambda x: F.when(F.col("_length") > 0, x / F.col("_length")).otherwise(x))).drop("_length", *[f"_v{i}" for i in range(size)])
 
 
-def quantile(x: str, twentieths: int) -> Column:
-    """The linearly interpolated quantile of an entity's whole numbers, in twentieths of their unit."""
-    w = Window.partitionBy(ENTITY)
-    place, rank = (F.count(x).over(w) - 1) * twentieths, F.row_number().over(Window.partitionBy(ENTITY).orderBy(x)) - 1
-    low = F.floor(place / 20)
-    return F.struct(rank.alias("rank"), low.alias("low"), (place % 20).alias("rest"))
-
-
 def characters(sections: DataFrame) -> DataFrame:
     """sections (section, features in thousandths, repetition) with ``character``, by the first of fourteen
-    conditions that holds; quantiles are those of the entity's sections."""
+    conditions that holds; quantiles are those of the entity's sections, from one group-by."""
     c = F.col
     order = Window.partitionBy(ENTITY).orderBy("section")
-    whole = Window.partitionBy(ENTITY)
     rows = sections.withColumn("motion", c("onset") + c("flux"))  # twice the motion
-    for name, x, m in (("el", "energy", 7), ("eh", "energy", 14), ("ep", "energy", 17), ("ml", "motion", 7), ("mh", "motion", 14), ("rm", "repetition", 10)):
-        rows = rows.withColumn("_q", quantile(x, m))
-        part = F.when(c("_q.rank") == c("_q.low"), c(x) * (20 - c("_q.rest"))).when(c("_q.rank") == c("_q.low") + 1, c(x) * c("_q.rest"))
-        rows = rows.withColumn("_p", part).withColumn(f"_{name}", F.sum("_p").over(whole)).drop("_q", "_p")
+    # linearly interpolated quantiles of whole numbers at twentieths are whole twentieths
+    cuts = {"energy": (("el", 0.35), ("eh", 0.7), ("ep", 0.85)), "motion": (("ml", 0.35), ("mh", 0.7)), "repetition": (("rm", 0.5),)}
+    found = rows.groupBy(ENTITY).agg(F.count("*").alias("_n"), *[F.percentile(x, F.array(*[F.lit(q) for _, q in at])).alias(f"_p_{x}") for x, at in cuts.items()])
+    twentieths = [F.round(F.get(f"_p_{x}", F.lit(i)) * 20).cast("long").alias(f"_{name}") for x, at in cuts.items() for i, (name, _) in enumerate(at)]
+    rows = rows.join(found.select(ENTITY, "_n", *twentieths), ENTITY)
     rows = rows.withColumns({
-        "_i": F.row_number().over(order) - 1, "_n": F.count("*").over(whole), "_delta": c("energy") - F.coalesce(F.lag("energy").over(order), c("energy")),
+        "_i": F.row_number().over(order) - 1, "_delta": c("energy") - F.coalesce(F.lag("energy").over(order), c("energy")),
         "_next_e": F.coalesce(F.lead("energy").over(order), c("energy")), "_next_m": F.coalesce(F.lead("motion").over(order), c("motion")), "_next_d": F.coalesce(F.lead("drums").over(order), c("drums")),
     })
     e, m, r = c("energy") * 20, c("motion") * 20, c("repetition") * 20

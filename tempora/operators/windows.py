@@ -48,6 +48,17 @@ def extremum(x: str, radius: int = 4, low: bool = False) -> Column:
     return F.col(x) == (F.min(x) if low else F.max(x)).over(w)
 
 
+def decided_chunks(rows: DataFrame, end: str, tolerance: int, by: list[str], size: int = 2000) -> DataFrame:
+    """rows with ``chunk``: rows of an entity in the order of ``by`` (the start first), cut where one starts more than the tolerance after all
+    before it have ended, so that no choice among nearby rows reaches across a cut. A chunk takes on stretches until it has ``size`` rows; a longer
+    stretch stays whole."""
+    w = order(*by)
+    placed = rows.withColumns({"_reach": F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1)), "_rank": F.row_number().over(w)})
+    cut = F.col("_reach").isNull() | (F.col(by[0]) > F.col("_reach") + tolerance)
+    headed = placed.withColumn("_head", F.when(cut, F.col("_rank"))).withColumn("_head", F.last("_head", True).over(w))
+    return headed.withColumn("chunk", F.floor(F.col("_head") / size)).drop("_reach", "_rank", "_head")
+
+
 def entity_quantiles(rows: DataFrame, x: str, tenths: list[int]) -> DataFrame:
     """rows with q1, q9 and so on: quantiles in tenths of each entity's integer values, linearly
     interpolated, in tenths of the unit, so exact integers."""
@@ -94,4 +105,4 @@ def refine(rows: DataFrame, starts: DataFrame, reach: int = 4, penalty: float =
 def numbered(rows: DataFrame, by: list[str], prefix: str = "", digits: int = 3) -> DataFrame:
     """rows with ``number`` in their group and ``number_id``, the prefix and padded number."""
     n = F.row_number().over(Window.partitionBy(ENTITY, *by).orderBy("t", "event_id"))
-    return rows.withColumn("number", n).withColumn("number_id", F.concat(F.lit(prefix), *[F.concat(F.col(c), F.lit("_")) for c in by], F.lpad(F.col("number").cast("string"), digits, "0")))
+    return rows.withColumn("number", n).withColumn("number_id", F.concat(F.lit(prefix), *[F.concat(F.col(c), F.lit("_")) for c in by], F.format_string(f"%0{digits}d", "number")))

@@ -265,8 +265,9 @@ def anchors_in_window(spark, sf_dir):
     rows = rows_of(spark, sf_dir)
     spans = rows.groupBy(E, F.floor((F.col("idx") - 1) / 16).cast("long").alias("section")).agg(F.min("t").alias("start_t"), F.max("t").alias("end_t"))
     met = joins.in_range(rows.where("label <> 'view'").select(E, "event_id", "t"), spans, 5 * DAY, closed=True)
-    listed = F.slice(F.array_sort(F.collect_list(F.struct("t", "event_id"))), 1, 6)
-    return met.groupBy(E, "section").agg(F.transform(listed, lambda x: x["event_id"]).alias("anchors"))
+    place = F.row_number().over(Window.partitionBy(E, "section").orderBy("t", "event_id"))
+    listed = F.array_sort(F.collect_list(F.struct("t", "event_id")))
+    return met.withColumn("_place", place).where("_place <= 6").groupBy(E, "section").agg(F.transform(listed, lambda x: x["event_id"]).alias("anchors"))
 
 
 @query(

@@ -208,16 +208,36 @@ def best_overlap_classify(spark, sf_dir):
     return joins.best_overlap(_intervals(spark, sf_dir, "a", "click"), _intervals(spark, sf_dir, "b", "view"), 12 * HOUR).select(E, "a_id", "b_id", "ratio", "result")
 
 
-@query("greedy_match_report")
+_NEAR = f"(abs(x.start_t - w.es[w.k].start_t) <= {24 * HOUR} OR abs(x.end_t - w.es[w.k].end_t) <= {24 * HOUR}) AND NOT list_contains(w.used, x.id)"
+
+
+@query(
+    "greedy_match_report",
+    f"""WITH RECURSIVE {TL}, iv AS (SELECT entity_id, event_id AS id, label, t AS start_t, t + {6 * HOUR} AS end_t FROM tl WHERE label IN ('purchase', 'signup')),
+l AS (SELECT entity_id, list({{'id': id, 'start_t': start_t, 'end_t': end_t}} ORDER BY start_t, id) FILTER (label = 'purchase') AS es, list({{'id': id, 'start_t': start_t, 'end_t': end_t}} ORDER BY start_t, id) FILTER (label = 'signup') AS acs FROM iv GROUP BY 1),
+w AS (SELECT entity_id, es, coalesce(acs, []) AS acs, 1 AS k, []::BIGINT[] AS used, NULL::BIGINT AS expected_id, NULL::BIGINT AS actual_id FROM l WHERE es IS NOT NULL UNION ALL
+  SELECT entity_id, es, acs, k + 1, CASE WHEN got IS NULL THEN used ELSE list_append(used, got) END, e, got FROM (
+    SELECT w.entity_id, w.es, w.acs, w.k, w.used, w.es[w.k].id AS e,
+      list_sort(list_transform(list_filter(w.acs, lambda x: {_NEAR}), lambda x: {{'down': -greatest(0, least(x.end_t, w.es[w.k].end_t) - greatest(x.start_t, w.es[w.k].start_t)), 's': x.start_t, 'id': x.id}}))[1].id AS got FROM w WHERE k <= len(es))),
+m AS (SELECT entity_id, expected_id, actual_id FROM w WHERE expected_id IS NOT NULL)
+SELECT * FROM m UNION ALL SELECT entity_id, NULL, id FROM iv WHERE label = 'signup' AND NOT EXISTS (SELECT 1 FROM m WHERE m.actual_id = iv.id)""",
+)
 def greedy_match_report(spark, sf_dir):
-    """One-to-one matches of purchases and signups within a day; no SQL, tested by brute force."""
+    """One-to-one matches of purchases and signups within a day."""
     shape = lambda label: rows_of(spark, sf_dir, label).select(E, F.col("event_id").alias("id"), F.lit("x").alias("type"), F.col("t").alias("start_t"), (F.col("t") + 6 * HOUR).alias("end_t"))
     return joins.greedy_matches(shape("purchase"), shape("signup"), 24 * HOUR)
 
 
-@query("boundary_merge_match")
+@query(
+    "boundary_merge_match",
+    f"""WITH RECURSIVE {TL}, l AS (SELECT entity_id, coalesce((list(t ORDER BY t) FILTER (label = 'purchase'))[2:], []) AS a, coalesce((list(t ORDER BY t) FILTER (label = 'signup'))[2:], []) AS b FROM tl GROUP BY 1),
+w AS (SELECT entity_id, a, b, 1 AS i, 1 AS j, NULL::VARCHAR AS result, NULL::BIGINT AS reference_t, NULL::BIGINT AS inferred_t FROM l UNION ALL
+  SELECT entity_id, a, b, i + CASE WHEN r = 'extra' THEN 0 ELSE 1 END, j + CASE WHEN r = 'missed' THEN 0 ELSE 1 END, r, CASE WHEN r <> 'extra' THEN a[i] END, CASE WHEN r <> 'missed' THEN b[j] END FROM (
+    SELECT *, CASE WHEN i <= len(a) AND j <= len(b) AND abs(a[i] - b[j]) <= {24 * HOUR} THEN 'match' WHEN j > len(b) OR (i <= len(a) AND a[i] < b[j]) THEN 'missed' ELSE 'extra' END AS r FROM w WHERE i <= len(a) OR j <= len(b)))
+SELECT entity_id, result, reference_t, inferred_t FROM w WHERE result IS NOT NULL""",
+)
 def boundary_merge_match(spark, sf_dir):
-    """Purchases and signups as boundary lists; no SQL, tested by brute force."""
+    """Purchases and signups as boundary lists."""
     return joins.match_boundaries(rows_of(spark, sf_dir, "purchase").select(E, "t"), rows_of(spark, sf_dir, "signup").select(E, "t"), 24 * HOUR)
 
 
