@@ -163,7 +163,8 @@ def _apart(left: DataFrame, right: DataFrame, tolerance: int, by: list[str], end
     """Both sides with the chunk that their rows lie in together."""
     both = left.withColumn("_left", F.lit(True)).unionByName(right.select(left.columns).withColumn("_left", F.lit(False)))
     cut = decided_chunks(both, end, tolerance, by)
-    return cut.where("_left").drop("_left"), cut.where("not _left").drop("_left")
+    named = [F.col(c).alias(c) for c in [*left.columns, "chunk"]]  # columns of their own, as both come from one table
+    return cut.where("_left").select(named), cut.where("not _left").select(named)
 
 
 def match_boundaries(reference: DataFrame, inferred: DataFrame, tolerance: int) -> DataFrame:
