@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalars import PITCH_CLASSES
+from .cards import MAJOR, MINOR
 from .windows import ENTITY, changed, decided_chunks, order
 
 
@@ -129,6 +131,74 @@ def bar_labels(rows: DataFrame, label: str = "label") -> DataFrame:
     return grouped.where((F.col("_n") == 4) & (F.size("_b") == 4)).select(ENTITY, "bar", F.transform("_b", lambda x: x["l"]).alias("beats"))
 
 
+class PatternMiner:
+    """Repeated sequences of one entity's bars (a matrix of beat codes). Windows that may match share a piece: of one more pieces than beats may
+    differ, one agrees throughout. Matches are looked up so once for each length; what a start finds is kept, and found again only
+    where bars that it used are gone."""
+
+    def __init__(self, grid: np.ndarray, longest: int, tolerated: int):
+        self.grid, n = grid, len(grid)
+        self.lengths = [x for x in dict.fromkeys([4, *range(min(longest, n // 2), 1, -1)]) if x <= n]
+        self.matches = {length: self.matching(length, 0 if length == 2 else tolerated) for length in self.lengths}
+        self.found = {(rank, first): self.occurrences(length, first, np.ones(n - length + 1, dtype=bool)) for rank, length in enumerate(self.lengths) for first in range(n - length + 1)}
+
+    def matching(self, length: int, allowed: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each start the later starts whose windows differ in at most ``allowed`` beats, and in how many."""
+        flat, width = self.grid.ravel(), self.grid.shape[1]
+        starts, edges = len(self.grid) - length + 1, [width * length * j // (allowed + 1) for j in range(allowed + 2)]
+        shared: dict[tuple[int, bytes], list[int]] = {}
+        keys = [[(j, flat[width * s + a : width * s + b].tobytes()) for j, (a, b) in enumerate(zip(edges, edges[1:]))] for s in range(starts)]
+        for s, own in enumerate(keys):
+            for key in own:
+                shared.setdefault(key, []).append(s)
+        places = {key: np.array(at) for key, at in shared.items()}
+        windows_ = np.lib.stride_tricks.sliding_window_view(flat, width * length)[::width]
+        out = []
+        for s, own in enumerate(keys):
+            later = np.unique(np.concatenate([at[np.searchsorted(at, s, "right") :] for at in (places[k] for k in own)]))
+            wrong = (windows_[later] != windows_[s]).sum(axis=1)
+            out.append((later[wrong <= allowed], wrong[wrong <= allowed]))
+        return out
+
+    def occurrences(self, length: int, first: int, free: np.ndarray) -> tuple[list[int], list[int]] | None:
+        """Places and differences of windows like that at ``first`` that do not overlap, taken from the left among free ones; None for fewer than two."""
+        later, wrong = self.matches[length][first]
+        open_ = free[later]
+        later, wrong = later[open_], wrong[open_]
+        at, errors, k = [first], [0], int(np.searchsorted(later, first + length))
+        while k < len(later):
+            at.append(int(later[k]))
+            errors.append(int(wrong[k]))
+            k = int(np.searchsorted(later, later[k] + length))
+        return (at, errors) if len(at) > 1 else None
+
+    def score(self, length: int, at: list[int], errors: list[int]) -> int:
+        w = PATTERN_SCORE
+        return w["bars"] * len(at) * length + w["length"] * length + w["found"] * len(at) + w["four"] * (length == 4) - w["error"] * sum(errors)
+
+    def patterns(self) -> Iterator[tuple[int, list[int], list[int]]]:
+        """(length, places, differences) of the best sequence, then of the best among bars that are left, until none repeats."""
+        used = np.zeros(len(self.grid), dtype=bool)
+        live = {key: (self.score(self.lengths[key[0]], *found), found) for key, found in self.found.items() if found}
+        while live:
+            (rank, _), (_, (at, errors)) = max(live.items(), key=lambda e: (e[1][0], -e[0][0], -e[0][1]))
+            length = self.lengths[rank]
+            yield length, at, errors
+            for s in at:
+                used[s : s + length] = True
+            gone = np.concatenate([[0], np.cumsum(used)])
+            free = [gone[x:] == gone[: len(gone) - x] for x in self.lengths]
+            for key, (_, (places, _)) in list(live.items()):
+                rank, first = key
+                if free[rank][places].all():
+                    continue
+                found = self.occurrences(self.lengths[rank], first, free[rank]) if free[rank][first] else None
+                if found:
+                    live[key] = (self.score(self.lengths[rank], *found), found)
+                else:
+                    del live[key]
+
+
 def mine_patterns(bars: DataFrame, longest: int = 24, tolerated: int = 3) -> DataFrame:
     """Repeated bar sequences: for each length (4 first, then longest down to 2) non-overlapping occurrences from the left
     with at most ``tolerated`` differing beats (none for 2 bars), over the list of complete bars, so that a bar
@@ -138,35 +208,10 @@ def mine_patterns(bars: DataFrame, longest: int = 24, tolerated: int = 3) -> Dat
 
     def mine(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("bar")
-        numbers, beats = pdf["bar"].to_numpy(), [tuple(b) for b in pdf["beats"]]
-        codes: dict[str, int] = {}
-        grid = np.array([[codes.setdefault(x, len(codes)) for x in b] for b in beats]).reshape(-1, 4)
-        n, used, out, pattern = len(grid), np.zeros(len(grid), dtype=bool), [], 0
-        while True:
-            best = None
-            for length in [4, *range(min(longest, n // 2), 1, -1)]:
-                allowed = 0 if length == 2 else tolerated
-                starts = [s for s in range(n - length + 1) if not used[s : s + length].any()]
-                for first in starts:
-                    found, errors, free = [], 0, 0
-                    for s in starts:
-                        if s < first or s < free:
-                            continue
-                        wrong = int((grid[s : s + length] != grid[first : first + length]).sum())
-                        if wrong <= allowed:
-                            found.append((s, wrong))
-                            errors += wrong
-                            free = s + length
-                    if len(found) >= 2:
-                        score = PATTERN_SCORE["bars"] * len(found) * length + PATTERN_SCORE["length"] * length + PATTERN_SCORE["found"] * len(found) + PATTERN_SCORE["four"] * (length == 4) - PATTERN_SCORE["error"] * errors
-                        if best is None or score > best[0]:
-                            best = (score, length, found)
-            if best is None:
-                break
-            pattern += 1
-            for s, wrong in best[2]:
-                used[s : s + best[1]] = True
-                out.append((pdf[ENTITY].iloc[0], pattern, int(numbers[s]), int(numbers[s + best[1] - 1]), wrong))
+        numbers, codes, out = pdf["bar"].to_numpy(), {}, []
+        grid = np.array([[codes.setdefault(x, len(codes)) for x in b] for b in pdf["beats"]], dtype=np.int32).reshape(-1, 4)
+        for pattern, (length, at, errors) in enumerate(PatternMiner(grid, longest, tolerated).patterns(), start=1):
+            out += [(pdf[ENTITY].iloc[0], pattern, int(numbers[s]), int(numbers[s + length - 1]), wrong) for s, wrong in zip(at, errors)]
         return pd.DataFrame(out, columns=[ENTITY, "pattern", "start_bar", "end_bar", "mismatches"])
 
     return bars.groupBy(ENTITY).applyInPandas(mine, f"{ENTITY} long, pattern int, start_bar int, end_bar int, mismatches int")
@@ -240,6 +285,96 @@ def viterbi(rows: DataFrame, states: list[str], stay: float = 0.7, emit: float =
     return rows.groupBy(ENTITY).applyInPandas(smooth, f"{ENTITY} long, idx int, label string")
 
 
+#: Chords of the smoothing, in order, and its probabilities: to stay, to go to any of the key's chords, to any other, and to be heard as what
+#: it is, and as another; and the least confidence of a key that it is done for. Fixed values.
+CHORDS = [name for pitch in PITCH_CLASSES for name in (pitch, f"{pitch}m")]
+STAY, DIATONIC, CHROMATIC, HEARD, MISHEARD, KEY_CONFIDENCE = 0.7, 0.25, 0.05, 0.95, 0.05, 0.5
+
+
+def chord_moves(tonic: int, major: bool) -> np.ndarray:
+    """Log probabilities to go from a chord (row) to another (column) in a key."""
+    inside = {PITCH_CLASSES[(tonic + step) % 12] + ends for step, ends in (MAJOR if major else MINOR)}
+    to = np.array([np.log(DIATONIC / len(inside)) if c in inside else np.log(CHROMATIC / (len(CHORDS) - len(inside) - 1)) for c in CHORDS])
+    moves = np.tile(to, (len(CHORDS), 1))
+    np.fill_diagonal(moves, np.log(STAY))
+    return moves
+
+
+def smooth_chords(rows: DataFrame, keys: DataFrame, label: str = "label") -> DataFrame:
+    """(entity_id, idx, label): the most probable path of chords through the labels of entities whose key (tonic 0 to 11, major, confidence) is known with
+    confidence; all others, and single rows, keep their labels. Of equally probable chords the first counts. A label that is no such chord tells nothing. The
+    path of an entity is one pandas call; of each row it holds one byte for each chord."""
+    told = rows.select(ENTITY, "idx", F.col(label).alias("label")).join(keys.select(ENTITY, "tonic", "major", "confidence"), ENTITY, "left")
+    sure = F.coalesce(F.col("confidence") >= KEY_CONFIDENCE, F.lit(False)) & F.col("tonic").isNotNull() & F.col("major").isNotNull()
+
+    def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("idx")
+        if len(pdf) < 2:
+            return pdf[[ENTITY, "idx", "label"]]
+        moves, k = chord_moves(int(pdf["tonic"].iloc[0]), bool(pdf["major"].iloc[0])), len(CHORDS)
+        place = {c: i for i, c in enumerate(CHORDS)}
+        unheard = np.full(k, np.log(MISHEARD / (k - 1)))
+        best, back = None, np.zeros((len(pdf), k), dtype=np.int8)
+        for t, name in enumerate(pdf["label"]):
+            heard = unheard.copy()
+            if name in place:
+                heard[place[name]] = np.log(HEARD)
+            if best is None:
+                best = heard
+                continue
+            through = best[:, None] + moves
+            back[t] = through.argmax(axis=0)
+            best = through.max(axis=0) + heard
+        path = [int(best.argmax())]
+        for t in range(len(pdf) - 1, 0, -1):
+            path.append(int(back[t, path[-1]]))
+        return pd.DataFrame({ENTITY: pdf[ENTITY], "idx": pdf["idx"], "label": [CHORDS[s] for s in reversed(path)]})
+
+    kinds = {f.name: f.dataType.simpleString() for f in told.schema.fields}
+    smoothed = told.where(sure).groupBy(ENTITY).applyInPandas(smooth, f"{ENTITY} {kinds[ENTITY]}, idx {kinds['idx']}, label string")
+    return told.where(~sure).select(ENTITY, "idx", "label").unionByName(smoothed)
+
+
+#: What a phrase must have in common with a group to join it: cosine, mean pitch, density and pitch classes. Fixed values.
+LIKE, CENTROID_GAP, DENSITY_GAP, SHARED_CLASSES = 0.97, 4.5, 0.3, 2
+
+
+def phrase_groups(windows_: DataFrame) -> DataFrame:
+    """(entity_id, idx, group_idx): phrases (idx in order of time, bar_count, contour, centroid or null, density, classes, vector) grouped in order. Each joins the group, of its length and
+    contour, near in mean pitch and density and with two pitch classes in common at least, whose running mean vector is most like its own, the
+    earliest of equals; or starts a group, which is known by its first phrase. Groups of other lengths and contours never meet, so those are grouped apart."""
+
+    def group(pdf: pd.DataFrame) -> pd.DataFrame:
+        groups: list[dict] = []
+        found = []
+        for w in pdf.sort_values("idx").itertuples(index=False):
+            vector, best, most = np.asarray(w.vector, dtype=float), None, 0.0
+            pitch = None if w.centroid is None or np.isnan(w.centroid) else float(w.centroid)
+            for g in groups:
+                if g["centroid"] is not None and pitch is not None and abs(g["centroid"] - pitch) > CENTROID_GAP:
+                    continue
+                if abs(g["density"] - w.density) / max(g["density"], 1.0) > DENSITY_GAP or len(g["classes"] & set(w.classes)) < SHARED_CLASSES:
+                    continue
+                norm = np.linalg.norm(g["vector"]) * np.linalg.norm(vector)
+                like = float(g["vector"] @ vector / norm) if norm > 0 else 0.0
+                if like > most:
+                    best, most = g, like
+            if best is None or most < LIKE:
+                best = {"first": w.idx, "n": 0, "vector": np.zeros_like(vector), "density": 0.0, "centroid": None, "classes": set(w.classes)}
+                groups.append(best)
+            n = best["n"]
+            best["vector"] = (best["vector"] * n + vector) / (n + 1)
+            best["density"] = (best["density"] * n + w.density) / (n + 1)
+            if pitch is not None:
+                best["centroid"] = pitch if best["centroid"] is None else (best["centroid"] * n + pitch) / (n + 1)
+            best["n"] = n + 1
+            found.append((getattr(w, ENTITY), w.idx, best["first"]))
+        return pd.DataFrame(found, columns=[ENTITY, "idx", "group_idx"])
+
+    kinds = {f.name: f.dataType.simpleString() for f in windows_.schema.fields}
+    return windows_.groupBy(ENTITY, "bar_count", "contour").applyInPandas(group, f"{ENTITY} {kinds[ENTITY]}, idx {kinds['idx']}, group_idx {kinds['idx']}")
+
+
 def distinct_notes(notes: DataFrame, within: int, look_back: int = 12, pitch_gap: int = 1) -> DataFrame:
     """Notes (t, pitch, priority, confidence, event_id) without near repeats: in order of time,
     priority and falling confidence, a note within the time and pitch gap of one of the last
