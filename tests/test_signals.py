@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tempora.operators import contracts, event_records, refine, rule_events, section_assembly, sequences, spectrum, tensor
+from tempora.operators import contracts, curves, event_records, refine, rule_events, section_assembly, sequences, spectrum, tensor
 from tempora.sources import artifacts, midi
 from tempora.sources.tables import artifact_dir
 
@@ -315,3 +315,65 @@ def test_cooldowns_equal_a_walk(strict):
             got += (places + a).tolist()
             before = entity[b - 1]
         assert got == want
+
+
+# --- curves
+
+
+def test_novelty_is_a_checkerboard_over_similarities(spark):
+    rng = np.random.default_rng(4)
+    for taper in ([1] * 3, [3, 2, 1]):
+        x = rng.integers(-9, 10, (20, 2))
+        rows = frame(spark, "entity_id long, idx int, a long, b long", *[(1, i + 1, int(a), int(b)) for i, (a, b) in enumerate(x)])
+        got = {r.idx: r.novelty for r in curves.novelty_curve(rows, ["a", "b"], 3, taper).collect()}
+        like = x @ x.T
+        for i in range(20):
+            if i < 3 or i > 17:
+                assert got[i + 1] is None
+                continue
+            kernel = sum(g * h * (like[i + j, i + k] + like[i - 1 - j, i - 1 - k] - like[i + j, i - 1 - k] - like[i - 1 - j, i + k]) for j, g in enumerate(taper) for k, h in enumerate(taper))
+            assert got[i + 1] == pytest.approx(kernel / sum(taper) ** 2)
+
+
+def test_periods_of_planted_pulses(spark):
+    rng = random.Random(8)
+    rows = [(e, i + 1, (100 if i % period == 0 else 0) + rng.randrange(10)) for e, period in ((1, 5), (2, 7)) for i in range(200)] + [(3, i + 1, 5) for i in range(30)] + [(4, 1, 5)]
+    table = frame(spark, "entity_id long, idx int, x long", *rows)
+    found = curves.autocorrelation(table, "x", 12)
+    values = {(r.entity_id, r.lag): r.correlation for r in found.collect()}
+    for e in (1, 2):
+        x = np.array([v for k, _, v in rows if k == e], dtype=float)
+        x -= x.mean()
+        for lag in range(1, 13):
+            assert values[e, lag] == pytest.approx((x[:-lag] * x[lag:]).sum() / (x**2).sum(), abs=1e-8)
+    assert values[3, 1] is None and (4, 1) not in values
+    assert {r.entity_id: r.period for r in curves.periods(found).collect()} == {1: 5, 2: 7}
+
+
+def test_local_keys_of_scales(spark):
+    scale = [0, 2, 4, 5, 7, 9, 11]
+    weight = {0: 5, 7: 4, 4: 3}
+    notes = [(1, s, 60 + t + n, weight.get(n, 1)) for s, t in ((0, 0), (1, 7)) for n in scale] + [(1, 2, 60 + n, w) for n, w in ((9, 5), (0, 4), (4, 4), (2, 1), (11, 1), (5, 1), (7, 1))] + [(1, 3, i, 1) for i in range(12)]
+    got = {r.section: r for r in curves.local_keys(frame(spark, "entity_id long, section long, pitch long, w long", *notes), "section", F.col("w")).collect()}
+    assert {s: r.key for s, r in got.items()} == {0: "C major", 1: "G major", 2: "A minor"} and got[0].margin > 0  # all pitch classes alike: no key
+    counts = np.zeros(12)
+    for _, s, p, w in notes:
+        if s == 0:
+            counts[p % 12] += w
+    assert got[0].score == pytest.approx(np.corrcoef(counts, curves.MAJOR_PROFILE)[0, 1], abs=1e-8)
+
+
+def test_channels_equal_numpy(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 6)) @ np.diag([9, 5, 3, 1, 0.5, 0.1]) @ np.linalg.qr(rng.normal(size=(6, 6)))[0] + 4
+    rows = frame(spark, "vec_id long, label int, v array<double>", *[(i, i % 3, row.tolist()) for i, row in enumerate(x)], (900, 1, None), (901, 2, [1.0]))
+    mean, axes, variances = curves.principal_axes(rows.repartition(5), "v", 6, 3)
+    values, vectors = np.linalg.eigh(np.cov(x.T, bias=True))
+    assert np.allclose(mean, x.mean(axis=0)) and np.allclose(variances, values[::-1][:3])
+    assert np.allclose(np.abs(axes @ vectors[:, ::-1][:, :3]), np.eye(3), atol=1e-6)
+    got = {r.vec_id: r for r in curves.drift(curves.channels(rows, "v", mean, axes), "label", "vec_id").collect()}
+    own = (x - x.mean(axis=0)) @ axes.T
+    for i in range(300):
+        assert np.allclose(got[i].channels, own[i])
+        assert got[i].drift == pytest.approx(0.0 if i < 3 else np.linalg.norm(own[i] - own[i - 3]))
+    assert got[900].channels is None and got[900].drift is None and got[901].channels is None
