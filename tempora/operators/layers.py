@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import containing, in_range
+from . import reports
+from .joins import containing
 from .windows import ENTITY
 
 
@@ -33,9 +34,7 @@ def section_cards(rows: DataFrame, sections: DataFrame, value: str = "energy") -
 
 def accents_in(windows: DataFrame, accents: DataFrame, width: int, most: int = 6) -> DataFrame:
     """The first accents in each window, both ends included: window_id, accents in order."""
-    pairs = in_range(accents, windows, width, closed=True)
-    ordered = F.array_sort(F.collect_list(F.struct("t", "event_id")))
-    return pairs.groupBy(ENTITY, "window_id").agg(F.transform(F.slice(ordered, 1, most), lambda r: r["event_id"]).alias("accents"))
+    return reports.first_in_windows(accents, windows, width, "window_id", most, "accents")
 
 
 def refined_union(lists: list[DataFrame], key: list[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import PITCH_CLASSES
-from ..operators import cards, joins
+from ..operators import cards, reports
 from .feature_queries import DAY, beats_of, tracks_of
 from .registry import HOUR, TL, query
 from .timeline_queries import E, rows_of
@@ -244,17 +244,16 @@ def fixture_roles(spark, sf_dir):
 @query(
     "song_cards",
     f"""WITH {EN}, s AS (SELECT entity_id, (idx - 1) // 8 AS section, round(sum(energy)::BIGINT / count(*)::DOUBLE, 6) AS mean_energy FROM en GROUP BY 1, 2),
-m AS (SELECT entity_id, label, count(*) AS n, max(energy) AS refs FROM en GROUP BY 1, 2), x AS (SELECT entity_id, arg_max(label, {{'n': n, 'r': refs}}) AS dominant_motif FROM m WHERE n >= 2 GROUP BY 1),
+m AS (SELECT entity_id, label, count(*) AS n, max(energy) AS refs FROM en GROUP BY 1, 2), x AS (SELECT entity_id, arg_max(label, {{'n': n, 'r': refs, 'l': label}}) AS dominant_motif FROM m WHERE n >= 2 GROUP BY 1),
 h AS (SELECT entity_id, count(*) FILTER (k < 30) AS hints_user, count(*) FILTER (k >= 30) AS hints_inferred, count(*) FILTER (k % 4 = 0) AS missing, count(*) FILTER (k % 4 = 1) AS differs, count(*) FILTER (k % 4 > 1) AS matched, median(k) AS median_overlap FROM en GROUP BY 1)
 SELECT s.entity_id, min(mean_energy) AS low, max(mean_energy) AS high, arg_max(section, {{'m': mean_energy, 's': -section}}) AS loudest, arg_min(section, {{'m': mean_energy, 's': section}}) AS quietest, max(dominant_motif) AS dominant_motif, max(hints_user) AS hints_user, max(hints_inferred) AS hints_inferred, max(missing) AS missing, max(differs) AS differs, max(matched) AS matched, max(median_overlap) AS median_overlap FROM s LEFT JOIN x USING (entity_id) JOIN h USING (entity_id) GROUP BY 1""",
 )
 def song_cards(spark, sf_dir):
     rows, k = beats_of(spark, sf_dir), F.col("k")
-    sections = rows.groupBy(E, F.floor((F.col("idx") - 1) / 8).cast("long").alias("section")).agg(F.round(F.sum("energy") / F.count("*"), 6).alias("mean_energy"))
-    extremes = sections.groupBy(E).agg(F.min("mean_energy").alias("low"), F.max("mean_energy").alias("high"), F.max_by("section", F.struct("mean_energy", -F.col("section"))).alias("loudest"), F.min_by("section", F.struct("mean_energy", "section")).alias("quietest"))
-    motifs = rows.groupBy(E, "label").agg(F.count("*").alias("n"), F.max("energy").alias("refs")).where("n >= 2").groupBy(E).agg(F.max_by("label", F.struct("n", "refs")).alias("dominant_motif"))
-    counts = rows.groupBy(E).agg(F.count_if(k < 30).alias("hints_user"), F.count_if(k >= 30).alias("hints_inferred"), F.count_if(k % 4 == 0).alias("missing"), F.count_if(k % 4 == 1).alias("differs"), F.count_if(k % 4 > 1).alias("matched"), F.median("k").alias("median_overlap"))
-    return extremes.join(motifs, E, "left").join(counts, E)
+    sections = reports.mean_cards(rows, F.floor((F.col("idx") - 1) / 8).cast("long"), "energy", "section", "mean_energy")
+    motifs = rows.groupBy(E, F.col("label").alias("motif")).agg(F.count("*").alias("occurrences"), F.max("energy").alias("refs"))
+    counts = reports.conditions_counted(rows, {"hints_user": k < 30, "hints_inferred": k >= 30, "missing": k % 4 == 0, "differs": k % 4 == 1, "matched": k % 4 > 1}, {"median_overlap": "k"})
+    return reports.extremes(sections, "mean_energy", "section").join(reports.dominant_motif(motifs), E, "left").join(counts, E)
 
 
 @query(
@@ -264,10 +263,7 @@ def song_cards(spark, sf_dir):
 def anchors_in_window(spark, sf_dir):
     rows = rows_of(spark, sf_dir)
     spans = rows.groupBy(E, F.floor((F.col("idx") - 1) / 16).cast("long").alias("section")).agg(F.min("t").alias("start_t"), F.max("t").alias("end_t"))
-    met = joins.in_range(rows.where("label <> 'view'").select(E, "event_id", "t"), spans, 5 * DAY, closed=True)
-    place = F.row_number().over(Window.partitionBy(E, "section").orderBy("t", "event_id"))
-    listed = F.array_sort(F.collect_list(F.struct("t", "event_id")))
-    return met.withColumn("_place", place).where("_place <= 6").groupBy(E, "section").agg(F.transform(listed, lambda x: x["event_id"]).alias("anchors"))
+    return reports.first_in_windows(rows.where("label <> 'view'"), spans, 5 * DAY, "section")
 
 
 @query(
@@ -278,7 +274,7 @@ SELECT entity_id, bar, list_filter(labels, lambda x, i: list_position(labels, x)
 def label_sets(spark, sf_dir):
     lists = rows_of(spark, sf_dir).groupBy(E, "bar").agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", "label"))), lambda x: x["label"]).alias("_l"), (F.count_distinct("event_id") == F.count("*")).alias("unique_ids"))
     following = F.coalesce(F.lead("_l").over(Window.partitionBy(E).orderBy("bar")), F.array().cast("array<string>"))
-    return lists.withColumn("_f", following).select(E, "bar", F.array_distinct("_l").alias("ordered"), F.size(F.array_intersect("_l", "_f")).alias("shared"), (F.size(F.array_except("_l", "_f")) == 0).alias("subset"), "unique_ids")
+    return reports.list_relations(lists.withColumn("_f", following), "_l", "_f").select(E, "bar", "ordered", "shared", "subset", "unique_ids")
 
 
 #: What is exported of an event, by type; anything else gets the general hint. Stand-ins for a user's table.
@@ -292,17 +288,14 @@ GENERAL = "Use the event as a musical cue."
 )
 def timeline_export(spark, sf_dir):
     k = F.col("k")
-    table = lambda pairs: F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
     genre = F.when(k % 4 == 0, "Festival").when(k % 4 == 1, "pop").when(k % 4 == 2, "Unheard Of")
-    profile = F.coalesce(F.try_element_at(table({"festival": "festival", "pop": "pop"}), F.replace(F.lower(genre), F.lit(" "), F.lit("_"))), F.lit("default"))
-    return beats_of(spark, sf_dir).select(
-        "event_id", F.col("label").alias("type"), F.col("t").alias("start_t"), "end_t", F.when(k % 6 == 0, "human-edited").otherwise("machine-only").alias("provenance"), F.coalesce(F.when(k % 5 != 0, "rules"), F.lit("unknown")).alias("created_by"),
-        F.coalesce(F.try_element_at(table(HINTS), F.col("label")), F.lit(GENERAL)).alias("lighting_hint"), profile.alias("profile"),
-    )
+    events = beats_of(spark, sf_dir).withColumns({"type": F.col("label"), "start_t": F.col("t"), "edited": k % 6 == 0, "created_by": F.when(k % 5 != 0, "rules")})
+    profiles = events.select("event_id", reports.threshold_profile(genre, ["festival", "pop"]).alias("profile"))
+    return reports.exported_events(events, HINTS, GENERAL).join(profiles, "event_id")
 
 
-#: Targets of the validation report, and those that a run asks for.
-TARGETS, ASKED = ["beats", "chords", "sections", "energy", "patterns", "unified", "events", "drums"], ["beats", "chords", "energy", "events"]
+#: Targets of the validation report, and those that this run asks for.
+TARGETS, ASKED = reports.TARGETS, ["beats", "chords", "energy", "events"]
 
 
 @query(
@@ -315,13 +308,7 @@ SELECT a.entity_id, a.target, coalesce(matched, 0) AS matched, coalesce(mismatch
 def validation_report(spark, sf_dir):
     rows = beats_of(spark, sf_dir)
     checks = rows.select(E, F.get(F.array(*[F.lit(x) for x in TARGETS]), (F.col("k") % 8).cast("int")).alias("target"), (F.col("energy") >= 2000).alias("ok"))
-    counts = checks.groupBy(E, "target").agg(F.count_if("ok").alias("matched"), F.count_if(~F.col("ok")).alias("mismatched"))
-    every = rows.select(E).distinct().withColumn("target", F.explode(F.array(*[F.lit(x) for x in TARGETS])))
-    joined = every.join(counts, [E, "target"], "left").fillna(0, ["matched", "mismatched"])
-    bad = F.col("target").isin(ASKED) & (F.col("mismatched") > 0)
-    status = F.when(~F.col("target").isin(ASKED), "skipped").when(F.col("mismatched") > 0, "failed").otherwise("passed")
-    strict = F.col(E) % 2 == 0  # the flag to fail on a mismatch
-    return joined.withColumns({"status": status, "exit_code": F.max(F.when(bad & strict, 1).otherwise(0)).over(Window.partitionBy(E))})
+    return reports.target_report(rows.select(E).distinct(), checks, ASKED, F.col(E) % 2 == 0)
 
 
 @query(
@@ -331,16 +318,10 @@ SELECT entity_id, start_t, last_t AS end_t, p AS probability FROM w WHERE n = 8
 )
 def sliding_predictions(spark, sf_dir):
     """Windows of eight rows every four; the given probability of a window above the bound is an event."""
-    rows = beats_of(spark, sf_dir)
-    w = Window.partitionBy(E).orderBy("idx").rowsBetween(0, 7)
-    scored = rows.withColumns({"probability": F.sum("k").over(w) / F.lit(800.0), "_n": F.count("*").over(w), "last_t": F.max("t").over(w)})
-    return scored.where("idx % 4 = 1 and _n = 8 and probability > 0.6").select(E, F.col("t").alias("start_t"), F.col("last_t").alias("end_t"), "probability")
+    return reports.window_events(beats_of(spark, sf_dir).withColumn("x", F.col("k")), F.col("s") / F.lit(800.0), 8, 4, 0.6)
 
 
 @query("timing_override", f"WITH {EN}, r AS (SELECT entity_id, min(t) FILTER (k < 50) AS first, count(*) FILTER (k < 50) AS n FROM en GROUP BY 1), i AS (SELECT entity_id, min(t) AS first, count(*) AS n FROM en GROUP BY 1) SELECT i.entity_id, CASE WHEN coalesce(r.n, 0) >= 30 THEN 'reference' ELSE 'inferred' END AS source, CASE WHEN coalesce(r.n, 0) >= 30 THEN r.first ELSE i.first END AS first_t FROM i LEFT JOIN r USING (entity_id)")
 def timing_override(spark, sf_dir):
     rows = beats_of(spark, sf_dir)
-    card = lambda df, p: df.groupBy(E).agg(F.min("t").alias(f"{p}_t"), F.count("*").alias(f"{p}_n"))
-    both = card(rows, "own").join(card(rows.where("k < 50"), "ref"), E, "left")
-    use = F.coalesce(F.col("ref_n") >= 30, F.lit(False))
-    return both.select(E, F.when(use, "reference").otherwise("inferred").alias("source"), F.when(use, F.col("ref_t")).otherwise(F.col("own_t")).alias("first_t"))
+    return reports.timing_source(rows, rows.where("k < 50"), 30)

@@ -338,9 +338,13 @@ def cosine_to_first(spark, sf_dir):
     return vectors.join(F.broadcast(first)).select("vec_id", cosine(F.col("embedding"), F.col("_first")).alias("cosine"))
 
 
-@query("closest_in_group")
+@query(
+    "closest_in_group",
+    """WITH p AS (SELECT a.label, a.vec_id, b.vec_id AS other, list_reduce(list_transform(list_zip(a.embedding, b.embedding), lambda z: CAST(z[1] AS DOUBLE) * CAST(z[2] AS DOUBLE)), lambda x, y: x + y) AS score FROM embeddings a JOIN embeddings b ON a.label IS NOT DISTINCT FROM b.label AND a.vec_id <> b.vec_id)
+SELECT label, vec_id, other, score FROM p QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, other) = 1""",
+)
 def closest_in_group(spark, sf_dir):
-    """The most similar other vector of the same label; tested against numpy."""
+    """The most similar other vector of the same label."""
     return features.closest_in_group(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "label", "vec_id", "embedding")
 
 

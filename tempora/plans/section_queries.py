@@ -99,7 +99,20 @@ def section_characters(spark, sf_dir):
     return song_sections.characters(sections_from(bars_of(spark, sf_dir))).select(E, "section", "character")
 
 
-@query("phrase_blocks")
+@query(
+    "phrase_blocks",
+    f"""WITH RECURSIVE {BARS}, c AS (SELECT entity_id, (bar - 1) // 2 AS block, count(*) AS bar_count, sum(energy)::BIGINT % 120 + 400 AS energy, max(contrast) AS contrast, sum(vocals)::BIGINT AS a, sum(drums)::BIGINT AS b FROM bars GROUP BY 1, 2),
+v AS (SELECT *, CASE WHEN a * a + b * b > 0 THEN a / sqrt((a * a + b * b)::DOUBLE) ELSE 0 END AS x, CASE WHEN a * a + b * b > 0 THEN b / sqrt((a * a + b * b)::DOUBLE) ELSE 0 END AS y FROM c),
+w AS (SELECT *, x * lead(x) OVER o + y * lead(y) OVER o >= {song_sections.SIMILARITY}::DOUBLE AS alike FROM v WINDOW o AS (PARTITION BY entity_id ORDER BY block)),
+l AS (SELECT entity_id, count(*) AS n, list(energy ORDER BY block) AS e, list(coalesce(alike, false) ORDER BY block) AS al, list(block ORDER BY block) AS bl, coalesce((list(contrast ORDER BY block))[2] >= {song_sections.INTRO_CONTRAST}, false) AS stands FROM w GROUP BY 1),
+s AS (SELECT *, n >= 2 AND stands AS keep, n > 2 AND al[1] AND NOT stands AND (e[1] + e[2]) / 2 < list_median(e[3:]) AS opens FROM l),
+g AS (SELECT entity_id, n, e, al, bl, keep, 1::BIGINT AS i, CASE WHEN opens THEN 2 ELSE 0 END::BIGINT AS size, 0::BIGINT AS grp, NULL::BIGINT AS before_ FROM s UNION ALL
+  SELECT entity_id, n, e, al, bl, keep, i + size, CASE WHEN i + size < n AND NOT (i + size = 1 AND keep) AND NOT coalesce(e[i + size] - b > {song_sections.ENTRY_JUMP}, false) AND al[i + size] AND abs(e[i + size] - e[i + size + 1]) <= {song_sections.ENERGY_DELTA} THEN 2 ELSE 1 END, grp + CASE WHEN size > 0 THEN 1 ELSE 0 END, b
+  FROM (SELECT *, CASE WHEN size > 0 THEN e[i + size - 1] END AS b FROM g) WHERE i + size <= n),
+m AS (SELECT g.entity_id, grp, w.* EXCLUDE (entity_id) FROM g JOIN w ON w.entity_id = g.entity_id AND w.block BETWEEN bl[i] AND bl[i + size - 1] WHERE size > 0),
+r AS (SELECT entity_id, grp::INTEGER AS grp, min(block) AS first_block, max(block) AS last_block, sum(bar_count)::BIGINT AS bar_count, sum(energy)::BIGINT / count(*) AS energy, sum(x) / count(*) AS x, sum(y) / count(*) AS y FROM m GROUP BY 1, 2)
+SELECT entity_id, grp::BIGINT AS grp, first_block, last_block, bar_count, energy, CASE WHEN sqrt(x * x + y * y) > 0 THEN [x / sqrt(x * x + y * y), y / sqrt(x * x + y * y)] ELSE [x, y] END AS vector FROM r""",
+)
 def phrase_blocks(spark, sf_dir):
     """Blocks of two bars, grouped and merged."""
     bars = bars_of(spark, sf_dir)

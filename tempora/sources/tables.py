@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 LYRICS = "line_id string, text string, start double, end double, confidence double"
 HINTS = "id string, title string, start_time double, end_time double, summary string, lighting_hint string"
 ANNOTATIONS = "annotation_status string, events array<struct<type: string, start_time: double, end_time: double, human_label: string>>"
+SEGMENTS = "start double, end double, label string"
 REFERENCE_BEATS = "curr_beat_time double, bar_num int, beat_num int, chord_simple_pop string, chord_basic_pop string, prev_chord string"
 
 
@@ -46,6 +47,12 @@ def read_json_rows(spark: SparkSession, path: str, schema: str, glob: str = "*.j
         return spark.createDataFrame([], f"{schema}, entity_id string")
 
 
+def reference_boundaries(segments: DataFrame) -> DataFrame:
+    """(entity_id, t, label): where reference segments (start in seconds, label) begin, in microseconds, but for the first of each entity."""
+    placed = segments.withColumn("_n", F.row_number().over(Window.partitionBy("entity_id").orderBy("start")))
+    return placed.where("_n > 1").select("entity_id", F.round(F.col("start") * 1_000_000).cast("long").alias("t"), "label")
+
+
 def entity_of(path: Column) -> Column:
     """The stem of a file name."""
     return F.regexp_extract(F.url_decode(path), r"([^/]+?)(?:\.[^./]*)?$", 1)
