@@ -36,7 +36,8 @@ NEIGHBOURS = 20
 #: Vectors in the sample that the partition is learned from, and of those, queries that set the
 #: number of probes.
 SAMPLE_ROWS, PROBE_ROWS = 12_000, 600
-#: Rows meant for one part, and the least and most parts.
+#: Rows meant for one part, and the least and most parts. Beyond MAX_PARTS times PART_ROWS rows (8.4 million) parts hold more rows, in more
+#: blocks; only the work of a query grows then, with the table, and no row is left out.
 PART_ROWS, MIN_PARTS, MAX_PARTS = 8192, 8, 1024
 TARGET_RECALL = 0.96
 #: Edges of a vector in the graph, rounds of refining, and how much fuller than the mean a part is.

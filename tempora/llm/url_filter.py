@@ -74,20 +74,25 @@ def expressions(host: Column, path: Column, labels: int, slashes: int) -> Column
     return F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.struct(s.alias("suffix"), p.alias("key_path")))))
 
 
-def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow", broadcast_rules: int = BROADCAST_RULES) -> DataFrame:
-    """pages with host, path, rule (null where none fits) and verdict; one row for each input row.
+OUT = ["host", "path", "rule", "verdict"]
+
 
-    pages must have no columns of these names or starting with an underscore.
+def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow", broadcast_rules: int = BROADCAST_RULES) -> DataFrame:
+    """pages with host, path, rule (null where none fits) and verdict; one row for each input row. Columns of pages that have
+    these names are left out.
     """
+    kept = [c for c in pages.columns if c != url and c not in OUT]
+    held = pages.select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in kept]).alias("_kept"), F.col(f"`{url}`").alias("_url"))
+    columns = [F.col("_url").alias(c) if c == url else F.col(f"_kept.`{c}`").alias(c) for c in pages.columns if c not in OUT]
     ready = prepare_rules(rules)
     bounds = ready.agg(
         F.count("*").alias("n"),
         F.max(F.size(F.split("rule_host", r"\.", -1))).alias("labels"),
         F.max(F.size(F.split("rule_path", "/", -1)) - 1).alias("slashes"),
     ).first()
-    judged = pages.withColumns({"host": url_host(F.col(url)), "path": url_path(F.col(url))})
+    judged = held.withColumns({"host": url_host(F.col("_url")), "path": url_path(F.col("_url"))})
     if not bounds.n:
-        return judged.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
+        return judged.select(*columns, "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
 
     keyed = judged.withColumn("_row", F.monotonically_increasing_id())
     wide = keyed.withColumn("_e", F.explode(expressions(F.col("host"), F.col("path"), bounds.labels, bounds.slashes))).withColumn(
@@ -108,12 +113,11 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: s
             F.struct(F.length("_rule").alias("length"), F.length("_rule_host").alias("host_length"), F.col("_rule").alias("rule"), (F.col("_verdict") == "block").alias("blocks"), F.col("_verdict").alias("verdict")),
         )
     ).alias("_best")
-    kept = [F.first(F.col(f"`{c}`")).alias(c) for c in judged.columns]
     return (
         wide.join(right, on, "left")
         .groupBy("_row")
-        .agg(*kept, best)
-        .select(*judged.columns, F.col("_best.rule").alias("rule"), F.coalesce(F.col("_best.verdict"), F.lit(default)).alias("verdict"))
+        .agg(*[F.first(c).alias(c) for c in judged.columns], best)
+        .select(*columns, "host", "path", F.col("_best.rule").alias("rule"), F.coalesce(F.col("_best.verdict"), F.lit(default)).alias("verdict"))
     )
 
 

@@ -46,6 +46,9 @@ def test_urls(spark):
     assert got[8] == ("example.com", "/de/", "example.com/de/", "block")
     assert got[9][2] is None and got[11][2] is None
     assert got[10][2:] == ("org/fr/", "allow")
+    clash = url_filter.filter_urls(pages.select("page_id", F.lit("x").alias("host"), "url", F.lit(1).alias("_row"), F.lit(2).alias("_e"), F.lit("y").alias("verdict")), rules)
+    assert clash.columns == ["page_id", "url", "_row", "_e", "host", "path", "rule", "verdict"]
+    assert sorted(map(str, clash.select("page_id", "url", "host", "path", "rule", "verdict").collect())) == sorted(map(str, url_filter.filter_urls(pages.select("page_id", "url"), rules).collect()))
     assert got[12] == ("h", "", None, "allow")
     assert got[14][2:] == ("net/", "block")
 
