@@ -146,9 +146,14 @@ def display_runs(labels: Column) -> Column:
 
 
 def group_code(n: Column) -> Column:
-    """A, B to Z, AA, AB and on, from 0; two letters reach to 701."""
-    letter = lambda x: F.char(x + 65)
-    return F.when(n < 26, letter(n)).otherwise(F.concat(letter(F.floor(n / 26) - 1), letter(n % 26)))
+    """A, B to Z, AA, AB and on, from 0, for whole numbers that are not negative."""
+    codes, before = None, 0
+    for letters in range(1, 14):  # as many letters as the largest long takes
+        rest = n.cast("long") - before
+        code = F.concat(*[F.char(F.floor(rest / 26**k).cast("long") % 26 + 65) for k in reversed(range(letters))])
+        before += 26**letters
+        codes = F.when(n < before, code) if codes is None else codes.when(n < before, code) if letters < 13 else codes.otherwise(code)
+    return codes
 
 
 def motif_name(n: Column) -> Column:

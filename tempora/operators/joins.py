@@ -71,11 +71,22 @@ def containing(points: DataFrame, intervals: DataFrame, time: str = "t", start:
     return both.withColumn("inside", F.when(F.col("_hit"), F.col("state"))).drop("state", "_hit")
 
 
+#: Buckets that one interval of a range join may touch; beyond, the width does not suit the intervals.
+MOST_BUCKETS = 100_000
+
+
+def _buckets(start: Column, until: Column, width: int) -> Column:
+    """The buckets from start to until; an error where they are more than ``MOST_BUCKETS``."""
+    first, last = F.floor(start / width), F.floor(until / width)
+    many = F.raise_error(F.format_string("an interval touches %d buckets of a range join: take a larger width", last - first + 1)).cast("array<bigint>")
+    return F.when(last - first >= MOST_BUCKETS, many).otherwise(F.sequence(first, last))
+
+
 def in_range(rows: DataFrame, intervals: DataFrame, width: int, time: str = "t", start: str = "start_t", end: str = "end_t", closed: bool = False) -> DataFrame:
     """Rows paired with each interval start <= t < end (or <= with closed) of their entity; the
     intervals may overlap. Columns of both sides; names must not clash but for the entity."""
     until = F.col(end) if closed else F.col(end) - 1
-    spread = intervals.where(F.col(start) <= until).withColumn("_bucket", F.explode(F.sequence(F.floor(F.col(start) / width), F.floor(until / width))))
+    spread = intervals.where(F.col(start) <= until).withColumn("_bucket", F.explode(_buckets(F.col(start), until, width)))
     keyed = rows.withColumn("_bucket", F.floor(F.col(time) / width))
     return keyed.join(spread, [ENTITY, "_bucket"]).where((F.col(time) >= F.col(start)) & (F.col(time) <= until)).drop("_bucket")
 
@@ -85,7 +96,7 @@ def overlapping(a: DataFrame, b: DataFrame, width: int, a_start: str = "a_start"
     bucket in which the later of the two starts lies."""
 
     def spread(df: DataFrame, start: str, end: str) -> DataFrame:
-        return df.where(F.col(end) > F.col(start)).withColumn("_bucket", F.explode(F.sequence(F.floor(F.col(start) / width), F.floor((F.col(end) - 1) / width))))
+        return df.where(F.col(end) > F.col(start)).withColumn("_bucket", F.explode(_buckets(F.col(start), F.col(end) - 1, width)))
 
     pairs = spread(a, a_start, a_end).join(spread(b, b_start, b_end), [ENTITY, "_bucket"])
     shared = overlap(F.col(a_start), F.col(a_end), F.col(b_start), F.col(b_end))

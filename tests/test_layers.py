@@ -3,9 +3,10 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from tempora.operators import features, layer_checks, section_hints, sequences, symbolic, texts
+from tempora.operators import cards, features, joins, layer_checks, section_hints, sequences, symbolic, texts
 
 
 def frame(spark, schema, *rows):
@@ -215,3 +216,22 @@ def test_one_decimal_is_that_of_the_binary_value(spark):
     rows = frame(spark, "i int, x double", *enumerate([*values, None]))
     got = {r.i: r.t for r in rows.select("i", texts.one_decimal(F.col("x")).alias("t")).collect()}
     assert all(got[i] == f"{x:.1f}" for i, x in enumerate(values)) and got[len(values)] == "n/a"
+
+
+def test_codes_of_many_groups(spark):
+    def code(n):
+        out = ""
+        while n >= 0:
+            out, n = chr(65 + n % 26) + out, n // 26 - 1
+        return out
+
+    numbers = [0, 1, 25, 26, 27, 51, 52, 701, 702, 703, 18_277, 18_278, 475_253, 10**12]
+    rows = frame(spark, "n long", *[(n,) for n in numbers])
+    assert {r.n: r.c for r in rows.select("n", cards.group_code(F.col("n")).alias("c")).collect()} == {n: code(n) for n in numbers}
+
+
+def test_range_joins_refuse_a_width_that_does_not_suit(spark):
+    rows, spans = frame(spark, "entity_id long, t long", (1, 5)), frame(spark, "entity_id long, start_t long, end_t long", (1, 0, 10_000_000))
+    assert joins.in_range(rows, spans, 1000).count() == 1
+    with pytest.raises(Exception, match="larger width"):
+        joins.in_range(rows, spans, 10).collect()
