@@ -66,10 +66,11 @@ def tails(phrases: DataFrame, rows: DataFrame, value: str, within: int, drop: in
     return inside.join(after, [ENTITY, "phrase_id"]).where(F.col("inside_mean") - F.col("after_mean") >= drop)
 
 
-def lowest_on_beats(notes: DataFrame, beats: DataFrame, pitch: str) -> DataFrame:
-    """The lowest note of those nearest to each beat, the first by id on a tie: beat_id, pitch, note."""
+def lowest_on_beats(notes: DataFrame, beats: DataFrame, pitch: str, rank: Column | None = None) -> DataFrame:
+    """Of the notes nearest to each beat the one of least ``rank``, by default the lowest, the first by id on a tie, and the least pitch: beat_id, note, pitch."""
     placed = nearest(notes, beats.select(ENTITY, "t", "beat_id"))
-    return placed.where("near is not null").groupBy(ENTITY, F.col("near.beat_id").alias("beat_id")).agg(F.min_by("event_id", F.struct(pitch, "event_id")).alias("event_id"), F.min(pitch).alias("lowest"))
+    first = F.struct((F.col(pitch) if rank is None else rank).alias("rank"), F.col(pitch), "event_id")
+    return placed.where("near is not null").groupBy(ENTITY, F.col("near.beat_id").alias("beat_id")).agg(F.min_by("event_id", first).alias("event_id"), F.min(pitch).alias("lowest"))
 
 
 def repetition(windows: DataFrame, section: str, group: str) -> DataFrame:

@@ -217,3 +217,13 @@ def test_query_equals_sql(spark, name):
     assert sorted(columns) == sorted(df.columns)
     order = [columns.index(c) for c in sorted(columns)]
     assert plain(tuple(r) for r in df.select(*sorted(df.columns)).collect()) == plain(tuple(r[i] for i in order) for r in found.fetchall())
+
+
+def test_lowest_notes_of_large_ids_equal_sql(spark, tmp_path):
+    con = duckdb.connect()
+    # one user; of the two notes nearest the click, the SQL's order takes the one with a million less in its id and a pitch higher by one
+    rows = "VALUES (5, 0, 'click', 10), (4000000, 1, 'view', 20), (1000000, 2, 'view', 21)"
+    con.execute(f"copy (SELECT i::BIGINT AS event_id, TIMESTAMP '2024-01-01' + to_seconds(s) AS ts, 7::BIGINT AS user_id, label AS event_type, 1.5::DOUBLE AS value, '{{\"k\": ' || k || '}}' AS props FROM ({rows}) t(i, s, label, k)) to '{tmp_path}/events.parquet'")
+    con.execute(f"create view events as select * from read_parquet('{tmp_path}/events.parquet')")
+    df = QUERIES["lowest_on_beats"](spark, str(tmp_path)).select("entity_id", "beat_id", "event_id", "lowest")
+    assert [tuple(r) for r in df.collect()] == con.execute(SQL["lowest_on_beats"]).fetchall() == [(7, 5, 1_000_000, 20)]
