@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import PITCH_CLASSES
@@ -61,8 +61,10 @@ def song_descriptions(songs: DataFrame) -> DataFrame:
 
 def phrase_group_descriptions(phrases: DataFrame) -> DataFrame:
     """(entity_id, phrase_group, description) of groups of two phrases or more: phrases (phrase_group, label, place in order, section_name, melodic_contour, density). Its commonest section and
-    contour are those seen first of equals."""
-    whole = phrases.groupBy(ENTITY, "phrase_group").agg(F.min("label").alias("label"), F.count("*").alias("n"), (F.sum("density") / F.count("*")).alias("density")).where("n >= 2")
+    contour are those seen first of equals. Densities are added in the order of place, as a sum that depends on how rows are dealt out would round either way at a half."""
+    running = F.sum("density").over(Window.partitionBy(ENTITY, "phrase_group").orderBy("place").rowsBetween(Window.unboundedPreceding, 0))
+    added = phrases.withColumn("_sum", running)
+    whole = added.groupBy(ENTITY, "phrase_group").agg(F.min("label").alias("label"), F.count("*").alias("n"), (F.max_by("_sum", "place") / F.count("*")).alias("density")).where("n >= 2")
 
     def commonest(x: str) -> DataFrame:
         counted = phrases.groupBy(ENTITY, "phrase_group", x).agg(F.count("*").alias("_n"), F.min("place").alias("_p"))

@@ -235,3 +235,10 @@ def test_range_joins_refuse_a_width_that_does_not_suit(spark):
     assert joins.in_range(rows, spans, 1000).count() == 1
     with pytest.raises(Exception, match="larger width"):
         joins.in_range(rows, spans, 10).collect()
+
+
+def test_densities_are_added_in_the_order_of_place(spark):
+    rows = [(1, "a", 0, 55.3), (1, "a", 1, 78.4), (1, "a", 3, 39.7), (1, "a", 2, 12.4)]  # 46.45 by place, a little less as they stand
+    phrases = frame(spark, "entity_id long, phrase_group string, place long, density double", *rows).coalesce(1)
+    named = phrases.withColumns({"label": F.lit("Group a"), "section_name": F.lit("s"), "melodic_contour": F.lit("flat")})
+    assert [r.description[-21:] for r in texts.phrase_group_descriptions(named).collect()] == ["(46.5 notes per bar)."]
