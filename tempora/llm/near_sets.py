@@ -1,8 +1,9 @@
-"""Near-duplicates by the Jaccard similarity of shingle sets: MinHash candidates, every link confirmed.
+"""Near-duplicates by SimHash and the Jaccard similarity of shingle sets: every link confirmed.
 
-1. Texts become sets of distinct shingle hashes; equal sets are one node, so copies never meet.
-2. Nodes that agree in a band of MinHash values are tied in a star to the least of them. The components
-   of the stars are clusters: two nodes that meet in any band are in one cluster.
+1. Texts become sets of distinct shingle hashes; equal sets are one node, so copies never meet. A node has a SimHash
+   fingerprint of its set.
+2. Nodes whose fingerprints BK-trees over shards link, as in simhash, are tied. So are, for pairs beyond that radius, nodes that
+   agree in a band of MinHash values, in a star to the least of them. The components of the ties are clusters.
 3. Each cluster's sets are brought together once, and linked wherever their similarity is high
    enough: all pairs of a cluster are judged, not only those that met. A set that is linked leaves
    the sets still to be reached, so a cluster of near copies costs little more than one sweep.
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import by_bytes, materialise, partitions_for
 from .components import connected_components
-from .simhash import shingle_hashes
+from .simhash import RADIUS, block_tables, fingerprint, link_shards, shard_rows, shingle_hashes
 
 #: MinHash values to a band, and bands.
 ROWS, BANDS = 6, 48
@@ -64,7 +65,7 @@ def band_keys(found: np.ndarray, factors: np.ndarray) -> np.ndarray:
 
 
 def print_rows(docs: DataFrame, words: int) -> DataFrame:
-    """docs (key, digest, text) as (key, digest, node, size, bands)."""
+    """docs (key, digest, text) as (key, digest, node, size, bands, fp)."""
     kind = docs.schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,9 +74,20 @@ def print_rows(docs: DataFrame, words: int) -> DataFrame:
             sets = [shingle_set(t.as_py(), words) for t in batch.column(2)]
             keys = [band_keys(s, factors).view(np.int64) for s in sets]
             flat = pa.ListArray.from_arrays(np.arange(len(keys) + 1, dtype=np.int32) * BANDS, np.concatenate([*keys, np.zeros(0, np.int64)]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([set_digest(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), flat], names=["key", "digest", "node", "size", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([set_digest(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), flat, pa.array([fingerprint(s) for s in sets], pa.binary())], names=["key", "digest", "node", "size", "bands", "fp"])
 
-    return docs.select("key", "digest", "text").mapInArrow(run, f"key {kind}, digest binary, node binary, size long, bands array<long>")
+    return docs.select("key", "digest", "text").mapInArrow(run, f"key {kind}, digest binary, node binary, size long, bands array<long>, fp binary")
+
+
+def fingerprint_ties(nodes: DataFrame) -> DataFrame:
+    """Edges (a, b) of nodes (node, fp) whose fingerprints are equal or linked within the radius by the BK-trees of their shards: a star for each
+    fingerprint, and one edge for each link."""
+    firsts = materialise(nodes.groupBy("fp").agg(F.min("node").alias("_first")), "sets-fingerprints")
+    links = materialise(link_shards(shard_rows(firsts, block_tables()), RADIUS), "sets-links")
+    named = firsts.withColumnRenamed("fp", "_fp")
+    near = links.join(named, F.col("a") == F.col("_fp")).select(F.col("_first").alias("_a"), "b").join(named, F.col("b") == F.col("_fp")).select(F.col("_a").alias("a"), F.col("_first").alias("b"))
+    same = nodes.select("node", "fp").join(named, F.col("fp") == F.col("_fp")).where("node <> _first").select(F.col("node").alias("a"), F.col("_first").alias("b"))
+    return near.union(same)
 
 
 def set_rows(texts: DataFrame, words: int) -> DataFrame:
@@ -160,11 +172,11 @@ def similar_groups(docs: DataFrame, words: int, least: float, max_shingles: int
     most = MAX_SHINGLES if max_shingles is None else max_shingles
     prints = materialise(print_rows(docs, words), "sets-prints")
     # one text stands for each node
-    nodes = materialise(prints.groupBy("node").agg(F.min("digest").alias("of"), F.first("size").alias("size"), F.first("bands").alias("bands")).where("size > 0"), "sets-nodes")
+    nodes = materialise(prints.groupBy("node").agg(F.min("digest").alias("of"), F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("fp").alias("fp")).where("size > 0"), "sets-nodes")
     met = nodes.select("node", F.explode("bands").alias("band"))
     stars = materialise(met.groupBy("band").agg(F.min("node").alias("b"), F.max("node").alias("_z")).where("b <> _z").select(F.col("band").alias("_band"), "b"), "sets-stars")
     ties = met.join(stars, F.col("band") == F.col("_band")).where("node <> b").select(F.col("node").alias("a"), "b")
-    clusters = connected_components(ties)
+    clusters = connected_components(fingerprint_ties(nodes).union(ties))
     held = materialise(clusters.join(nodes.select(F.col("node").alias("_node"), "of", "size"), F.col("node") == F.col("_node")).select("node", "root", "of", "size"), "sets-clusters")
     blocks = materialise(held.groupBy("root").agg(F.ceil(F.sum("size") / most).cast("long").alias("blocks")).withColumnRenamed("root", "_root"), "sets-blocks")
     wanted = materialise(held.join(blocks, F.col("root") == F.col("_root")).select("node", "root", "of", "blocks"), "sets-wanted")

@@ -167,3 +167,18 @@ def test_held_out_fold_is_crc32_of_the_text(spark):
     got = {r.id: r.f for r in spark.range(50).select("id", fold(F.col("id")).alias("f")).collect()}
     assert got == {i: zlib.crc32(str(i).encode()) % 4 for i in range(50)}
     assert substring_dedup.SPAN == 400
+
+
+def test_near_copies_meet_by_their_fingerprints(spark):
+    text = " ".join(words(4000, 2000))
+    texts = [text, changed(text.split(), {1000}, "x"), " ".join(words(4001, 300)), " ".join(words(4001, 300)[::-1])]
+    docs = spark.createDataFrame([(i, str(i).encode(), t) for i, t in enumerate(texts)], "key long, digest binary, text string")
+    prints = {r.key: r for r in near_sets.print_rows(docs, 5).collect()}
+    for i, t in enumerate(texts):
+        found = [int(h) for h in near_sets.shingle_set(t, 5)]
+        want = sum((2 * sum(h >> bit & 1 for h in found) > len(found)) << bit for bit in range(64))
+        assert int.from_bytes(prints[i].fp, "big") == want
+    apart = (int.from_bytes(prints[0].fp, "big") ^ int.from_bytes(prints[1].fp, "big")).bit_count()
+    assert apart <= 4
+    ties = near_sets.fingerprint_ties(near_sets.print_rows(docs, 5)).collect()
+    assert {frozenset((bytes(r.a), bytes(r.b))) for r in ties} == {frozenset(bytes(prints[i].node) for i in (0, 1))}  # once for each shard they share
