@@ -85,7 +85,10 @@ def normal_type(label: Column) -> Column:
 
 
 def known_type(label: Column) -> Column:
-    return normal_type(label).isNotNull()
+    """Whether a label stands for an event type; one spelled as in the vocabulary is not brought into its plain form first."""
+    spelled = {alias for name, aliases in VOCABULARY.items() for alias in [name, *aliases]}
+    plain = {"_".join(a.strip().casefold().replace("-", " ").split()) for a in spelled}
+    return F.coalesce(label.isin(sorted(spelled | plain)) | canonical_label(label).isin(sorted(plain)), F.lit(False))
 
 
 text, number, truth, thing = Field("string"), Field("number"), Field("boolean"), Field("object")
@@ -109,75 +112,99 @@ EVENT = Shape(
 PAYLOAD = Shape({"schema_version": Field("string", True, [SCHEMA_VERSION]), "song_name": need(text), "generated_from": need(thing), "events": Field("list", True, shape=EVENT), "review_status": text, "notes": text, "threshold_profile": text, "metadata": thing})
 
 
-def _part(value: Column, name: str, kind: str = "variant") -> Column:
-    return F.try_variant_get(value, f"$.{name}", kind)
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of the value, a list; the value is worked out once for a row, however often the body names it."""
+    return F.flatten(F.transform(F.array(value), body))
 
 
-def _is(value: Column, kind: str) -> Column:
-    return F.coalesce(F.schema_of_variant(value).rlike(KINDS[kind]), F.lit(False))
+def _as_object(value: Column) -> Column:
+    """An object's fields by name; null for what is no object."""
+    return F.try_variant_get(value, "$", "map<string,variant>")
 
 
-def _codes(*found: tuple[Column, str]) -> Column:
-    return F.array_compact(F.array(*[F.when(F.coalesce(bad, F.lit(False)), F.lit(code)) for bad, code in found]))
+def _is(kind: Column, name: str) -> Column:
+    return kind.rlike(KINDS[name]) if name == "number" else kind == KINDS[name].lstrip("^")
+
+
+def _opened(fields: Column, shape: Shape) -> Column:
+    """Of each field that a shape lists what its checks ask more than once: the members of a list, the fields of an object, else the kind."""
+
+    def of(part: Column, f: Field) -> Column:
+        if f.kind == "list":
+            return F.try_variant_get(part, "$", "array<variant>")
+        return _as_object(part) if f.kind == "object" else F.schema_of_variant(part)
 
+    return F.struct(*[of(fields[key], f).alias(key) for key, f in shape.fields.items()])
 
-def _members(members: Column, f: Field, path: str) -> tuple[list[Column], list[tuple[Column, str]]]:
-    """Codes of the members of a list, as columns of codes and as conditions with a code each."""
+
+def _member_codes(members: Column, f: Field, path: str) -> list[Column]:
+    """Codes of the members of a list, as columns of lists."""
     if f.shape:
-        return [F.flatten(F.transform(members, lambda m: F.when(_is(m, "object"), problems(m, f.shape, path)).otherwise(F.array(F.lit(f"{path}:kind")))))], []
-    wrong = []
+        return [F.flatten(F.transform(members, lambda m: _problems(_as_object(m), f.shape, path)))]
+    found = []
     if f.members:
-        wrong.append((F.exists(members, lambda m: ~_is(m, f.members)), f"{path}:kind"))
+        kind = lambda m: F.coalesce(_is(F.schema_of_variant(m), f.members), F.lit(False))
+        found.append((F.exists(members, lambda m: ~kind(m)), f"{path}:kind"))
         if f.values:
-            wrong.append((F.exists(members, lambda m: _is(m, f.members) & ~F.try_variant_get(m, "$", "string").isin(f.values)), f"{path}:value"))
-    return [], wrong
+            found.append((F.exists(members, lambda m: kind(m) & ~F.try_variant_get(m, "$", "string").isin(f.values)), f"{path}:value"))
+    return [_codes(*found)]
 
 
-def problems(value: Column, shape: Shape, name: str) -> Column:
-    """Codes of what is wrong with a VARIANT value: ``name:kind`` for a value that is no object,
-    ``name.field:missing``, ``name:unknown``, ``name.field:kind``, ``:value``, ``:range``, ``name:order`` and
-    ``name:empty``. Members of lists share the codes of their shape, each code once."""
-    found, parts = [], []
-    keys = F.json_object_keys(F.to_json(value))
-    found.append((F.size(F.array_except(keys, F.array(*[F.lit(k) for k in shape.fields]))) > 0, f"{name}:unknown"))
+def _codes(*found: tuple[Column, str]) -> Column:
+    """A code, or null, for each condition."""
+    return F.array(*[F.when(bad, F.lit(code)) for bad, code in found]) if found else F.array().cast("array<string>")
+
+
+def _object_codes(fields: Column, opened: Column, shape: Shape, name: str) -> Column:
+    found, parts = [(F.exists(F.map_keys(fields), lambda k: ~k.isin(list(shape.fields))), f"{name}:unknown")], []
     for key, f in shape.fields.items():
-        part, path = _part(value, key), f"{name}.{key}"
-        there, right = part.isNotNull(), _is(part, f.kind)
+        part, own, path = fields[key], opened[key], f"{name}.{key}"
+        right = own.isNotNull() if f.kind in ("list", "object") else _is(own, f.kind)
         if f.required:
-            found.append((~there, f"{path}:missing"))
-        found.append((there & ~right, f"{path}:kind"))
-        plain = _part(value, key, "string")
+            found.append((part.isNull(), f"{path}:missing"))
+        found.append((part.isNotNull() & ~right, f"{path}:kind"))
+        plain = F.try_variant_get(part, "$", "string")
         if f.kind == "string" and f.values:
             found.append((right & ~plain.isin(f.values), f"{path}:value"))
         if f.check:
             found.append((right & ~f.check(plain), f"{path}:value"))
         if f.low is not None:
-            found.append((right & ~_part(value, key, "double").between(f.low, f.high), f"{path}:range"))
+            found.append((right & ~F.try_variant_get(part, "$", "double").between(f.low, f.high), f"{path}:range"))
         if f.kind == "object" and f.shape:
-            parts.append(F.when(right, problems(part, f.shape, path)))
+            parts.append(F.when(right, _problems(own, f.shape, path)))
         if f.kind == "list":
-            in_list, wrong = _members(_part(value, key, "array<variant>"), f, f"{path}[]")
-            found += wrong
-            parts += in_list
+            parts += [F.when(right, codes) for codes in _member_codes(own, f, f"{path}[]")]
     for a, b in shape.ordered:
-        found.append((_is(_part(value, a), "number") & _is(_part(value, b), "number") & (_part(value, b, "double") < _part(value, a, "double")), f"{name}:order"))
+        x, y = (F.try_variant_get(fields[c], "$", "double") for c in (a, b))
+        found.append((_is(opened[a], "number") & _is(opened[b], "number") & (y < x), f"{name}:order"))
     if shape.any_of:
         # populated: there, and neither null, nor an empty list or text
         empty = F.lit(True)
         for key in shape.any_of:
-            empty = empty & F.coalesce(F.to_json(_part(value, key)), F.lit("null")).isin("null", "[]", '""')
+            empty = empty & F.coalesce(F.to_json(fields[key]), F.lit("null")).isin("null", "[]", '""')
         found.append((empty, f"{name}:empty"))
     none = F.array().cast("array<string>")
-    return F.array_distinct(F.concat(_codes(*found), *[F.coalesce(p, none) for p in parts]))
+    return F.concat(_codes(*found), *[F.coalesce(p, none) for p in parts])
+
+
+def _problems(fields: Column, shape: Shape, name: str) -> Column:
+    """Codes of an object's fields, nulls and repeats among them; the one code ``name:kind`` where there is no object."""
+    codes = lambda m: _bound(_opened(m, shape), lambda o: _object_codes(m, o, shape, name))
+    return _bound(fields, lambda m: F.when(m.isNotNull(), codes(m)).otherwise(F.array(F.lit(f"{name}:kind"))))
+
+
+def problems(value: Column, shape: Shape, name: str) -> Column:
+    """Codes of what is wrong with a VARIANT value: ``name:kind`` for a value that is no object,
+    ``name.field:missing``, ``name:unknown``, ``name.field:kind``, ``:value``, ``:range``, ``name:order`` and
+    ``name:empty``. Members of lists share the codes of their shape, each code once. Every object is taken apart once and each
+    field's kind is found once, at all depths, so the work follows the length of the document."""
+    return F.array_compact(F.array_distinct(_problems(_as_object(value), shape, name)))
 
 
 def check_documents(documents: DataFrame, shape: Shape, name: str, key: str, text_: str = "document") -> DataFrame:
     """documents (key, JSON text) -> (key, violation), a row for each code; a text that is no JSON object has the
     one code ``name:kind``."""
-    value = F.try_parse_json(F.col(text_))
-    parsed = documents.select(key, value.alias("_v"))
-    codes = F.when(_is(F.col("_v"), "object"), problems(F.col("_v"), shape, name)).otherwise(F.array(F.lit(f"{name}:kind")))
-    return parsed.select(key, F.explode(codes).alias("violation"))
+    return documents.select(key, F.explode(problems(F.try_parse_json(F.col(text_)), shape, name)).alias("violation"))
 
 
 def outside(rows: DataFrame, durations: DataFrame, key: str, by: str = "entity_id", start: str = "t", end: str = "end_t", slack: float = 1e-6) -> DataFrame:
