@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import PITCH_CLASSES
 from .cards import MAJOR, MINOR
-from .windows import ENTITY, changed, decided_chunks, order
+from .windows import ENTITY, changed, decided_chunks, each_group, order
 
 
 #: Weights of a repeated sequence: bars covered, its length, its count, a length of four, a differing beat. Fixed
@@ -344,35 +344,38 @@ def phrase_groups(windows_: DataFrame) -> DataFrame:
     contour, near in mean pitch and density and with two pitch classes in common at least, whose running mean vector is most like its own, the
     earliest of equals; or starts a group, which is known by its first phrase. Groups of other lengths and contours never meet, so those are grouped apart."""
 
-    def group(pdf: pd.DataFrame) -> pd.DataFrame:
+    def group(key: tuple, phrases: list[tuple]) -> list[tuple]:
         groups: list[dict] = []
         found = []
-        for w in pdf.sort_values("idx").itertuples(index=False):
-            vector, best, most = np.asarray(w.vector, dtype=float), None, 0.0
-            pitch = None if w.centroid is None or np.isnan(w.centroid) else float(w.centroid)
+        for idx, pitch, density, classes, vector in phrases:
+            vector, best, most = np.asarray(vector, dtype=float), None, 0.0
+            own = np.linalg.norm(vector)
+            pitch = None if pitch is None or np.isnan(pitch) else float(pitch)
             for g in groups:
                 if g["centroid"] is not None and pitch is not None and abs(g["centroid"] - pitch) > CENTROID_GAP:
                     continue
-                if abs(g["density"] - w.density) / max(g["density"], 1.0) > DENSITY_GAP or len(g["classes"] & set(w.classes)) < SHARED_CLASSES:
+                if abs(g["density"] - density) / max(g["density"], 1.0) > DENSITY_GAP or len(g["classes"].intersection(classes)) < SHARED_CLASSES:
                     continue
-                norm = np.linalg.norm(g["vector"]) * np.linalg.norm(vector)
+                norm = g["norm"] * own
                 like = float(g["vector"] @ vector / norm) if norm > 0 else 0.0
                 if like > most:
                     best, most = g, like
             if best is None or most < LIKE:
-                best = {"first": w.idx, "n": 0, "vector": np.zeros_like(vector), "density": 0.0, "centroid": None, "classes": set(w.classes)}
+                best = {"first": idx, "n": 0, "vector": np.zeros_like(vector), "density": 0.0, "centroid": None, "classes": set(classes)}
                 groups.append(best)
             n = best["n"]
             best["vector"] = (best["vector"] * n + vector) / (n + 1)
-            best["density"] = (best["density"] * n + w.density) / (n + 1)
+            best["norm"] = np.linalg.norm(best["vector"])
+            best["density"] = (best["density"] * n + density) / (n + 1)
             if pitch is not None:
                 best["centroid"] = pitch if best["centroid"] is None else (best["centroid"] * n + pitch) / (n + 1)
             best["n"] = n + 1
-            found.append((getattr(w, ENTITY), w.idx, best["first"]))
-        return pd.DataFrame(found, columns=[ENTITY, "idx", "group_idx"])
+            found.append((key[0], idx, best["first"]))
+        return found
 
     kinds = {f.name: f.dataType.simpleString() for f in windows_.schema.fields}
-    return windows_.groupBy(ENTITY, "bar_count", "contour").applyInPandas(group, f"{ENTITY} {kinds[ENTITY]}, idx {kinds['idx']}, group_idx {kinds['idx']}")
+    told = windows_.select(ENTITY, "bar_count", "contour", "idx", "centroid", "density", "classes", "vector")
+    return each_group(told, [ENTITY, "bar_count", "contour"], ["idx"], group, f"{ENTITY} {kinds[ENTITY]}, idx {kinds['idx']}, group_idx {kinds['idx']}")
 
 
 def distinct_notes(notes: DataFrame, within: int, look_back: int = 12, pitch_gap: int = 1) -> DataFrame:

@@ -242,3 +242,17 @@ def test_densities_are_added_in_the_order_of_place(spark):
     phrases = frame(spark, "entity_id long, phrase_group string, place long, density double", *rows).coalesce(1)
     named = phrases.withColumns({"label": F.lit("Group a"), "section_name": F.lit("s"), "melodic_contour": F.lit("flat")})
     assert [r.description[-21:] for r in texts.phrase_group_descriptions(named).collect()] == ["(46.5 notes per bar)."]
+
+
+def test_phrase_groups_stream_over_many_small_groups(spark):
+    kind = "entity_id long, idx long, bar_count long, contour string, centroid double, density double, classes array<int>, vector array<double>"
+    rows = [(e, i, 2 + i % 2, None if i % 4 == 3 else "static", None, 2.0, [0, 4, 7], [1.0, 2.0]) for e in [*range(50), None] for i in range(6)]
+    grouped = sequences.phrase_groups(frame(spark, kind, *rows))
+    plan = grouped._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "GroupsInPandas" not in plan  # a call of Python for each group took most of the time
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # groups go on from one batch to the next
+    try:
+        found = {(r.entity_id, r.idx, r.group_idx) for r in grouped.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found == {(e, i, {0: 0, 2: 0, 4: 0, 1: 1, 5: 1, 3: 3}[i]) for e in [*range(50), None] for i in range(6)}
