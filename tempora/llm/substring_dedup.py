@@ -397,9 +397,16 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, key: str
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, cut = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    digests = cut.select("of", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    """The digests, and last the text that remains, as a string: a character of which only a part is cut stands there as U+FFFD."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    _, cut = remove_repeats(docs)
+    digests = cut.select("of", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), F.make_valid_utf8(F.col("kept").cast("string")).alias("kept"))
     none = F.lit(0).cast("long")
-    return rows.join(digests, F.col("key") == F.col("of"), "left").select(
-        "doc_id", "n_bytes", F.coalesce("n_removed", none).alias("n_removed"), F.coalesce("n_spans", none).alias("n_spans"), F.coalesce("kept_sha256", F.lower(F.hex("key"))).alias("kept_sha256")
+    return keyed_texts(docs.select("doc_id", "text")).join(digests, F.col("key") == F.col("of"), "left").select(
+        "doc_id",
+        F.octet_length("text").cast("long").alias("n_bytes"),
+        F.coalesce("n_removed", none).alias("n_removed"),
+        F.coalesce("n_spans", none).alias("n_spans"),
+        F.coalesce("kept_sha256", F.lower(F.hex("key"))).alias("kept_sha256"),
+        F.coalesce("kept", "text").alias("text"),
     )

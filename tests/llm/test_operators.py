@@ -478,6 +478,25 @@ def test_repeated_strings(spark, max_contexts, monkeypatch):
             assert bytes(got.kept) == b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
 
 
+def test_repeated_strings_query_gives_the_text_that_remains(spark, tmp_path):
+    shared = prose(41, 200)[:500]
+    texts = [prose(42, 40) + shared, shared + prose(43, 40), "é" + shared[:399] + "x", "è" + shared[:399] + "y", prose(44, 90), prose(45, 300), prose(45, 300), None, ""]
+    texts += ["ü".join((prose(46, 30), "é" + prose(47, 150)[:450])), prose(48, 30) + "©" + prose(47, 150)[:450]]  # é and © share their last byte
+    documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    out = substring_dedup.op8_suffix_dedup(spark, str(tmp_path))
+    assert out.columns[:5] == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    found = {r.doc_id: r for r in out.collect()}
+    assert len(found) == len(texts)
+    raw = [(t or "").encode() for t in texts]
+    for i, (data, spans) in enumerate(zip(raw, brute_spans(raw, 400))):
+        edges = [0, *[e for p in spans for e in p], len(data)]
+        kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
+        assert found[i][1:5] == (len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest())
+        assert found[i].text == kept.decode(errors="replace")
+    assert shared not in found[0].text and found[5].text == found[7].text == "" and found[4].text == texts[4]
+    assert "\ufffd" in found[9].text
+
+
 def test_repeated_strings_at_stretch_borders(spark):
     border, texts = substring_dedup.STRETCH, []
     for i, before in enumerate((0, 1, 60, 150, 200, 250, 330, 399, 400, 410, 450)):  # bytes of the shared string ahead of the border
