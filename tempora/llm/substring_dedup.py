@@ -42,6 +42,8 @@ from .common import by_bytes, forget, materialise, need_columns, partitions_for
 from .suffix_array import suffix_array
 
 SPAN = 400
+#: Passages of more than about fifty short words: their least bytes, and those of an anchor in them.
+PASSAGE_BYTES, PASSAGE_GRAM = 240, 64
 #: Bytes of an anchor, of a block symbol, and of the stretch of a text that is hashed at once.
 GRAM, BLOCK, STRETCH = 96, 16, 1 << 17
 #: Distinct contexts of one anchor that are put in one suffix array.
@@ -396,17 +398,84 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, key: str
     return narrow, whole.union(parts)
 
 
+def run_pieces(texts: DataFrame, spans: DataFrame, least: int) -> DataFrame:
+    """(key, text): the merged spans (key, spans) of at least ``least`` bytes of texts (key, text), drawn out to whole characters, each as a
+    text of its own; its key is that of its text and its place there in four bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches):
+            keys, pieces = [], []
+            for key, text, found in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                data = text.encode()
+                for start, end in merged([(s["start"], s["end"]) for s in found]):
+                    if end - start >= least:
+                        start, end = drawn_out(data, start, end)
+                        keys.append(key + start.to_bytes(4, "big"))
+                        pieces.append(data[start:end].decode())
+            if keys:
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(pieces, pa.string())], names=["key", "text"])
+
+    long = texts.where(F.octet_length("text") >= least).groupBy("key").agg(F.first("text").alias("text"))
+    return long.join(spans.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key")).select("key", "text", "spans").mapInArrow(run, "key binary, text string")
+
+
+def drawn_out(data: bytes, start: int, end: int) -> tuple[int, int]:
+    """A span drawn out to character boundaries of UTF-8."""
+    while start and data[start] & 0xC0 == 0x80:
+        start -= 1
+    while end < len(data) and data[end] & 0xC0 == 0x80:
+        end += 1
+    return start, end
+
+
+def longer_spans(texts: DataFrame, spans: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
+    """What repeated_spans(texts, span, gram) returns, where ``spans`` is what it returns for fewer bytes: all parts of a repeated string
+    are repeated, so only the runs of those spans are searched."""
+    pieces = materialise(run_pieces(texts, spans, span), "spans-pieces")
+    found = repeated_spans(pieces, span, gram)
+    own, place = F.expr("substring(key, 1, octet_length(key) - 4)"), F.conv(F.hex(F.expr("substring(key, octet_length(key) - 3, 4)")), 16, 10).cast("int")
+    moved = found.withColumns({"own": own, "place": place}).select(F.col("own").alias("key"), F.transform("spans", lambda s: F.struct((s["start"] + F.col("place")).alias("start"), (s["end"] + F.col("place")).alias("end"))).alias("spans"))
+    return moved.groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+
+
+def remove_repeats_and_passages(docs: DataFrame, span: int = SPAN, gram: int = GRAM, passage: int = PASSAGE_BYTES, passage_gram: int = PASSAGE_GRAM, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Every row of docs as (its key, n_bytes, kept, n_removed, n_spans, passages_cut): ``kept``, binary, is without the strings of
+    ``span`` bytes that also start elsewhere, ``passages_cut``, a string, without those of ``passage`` bytes, fewer, whole characters only."""
+    if passage > span:
+        raise ValueError("a passage takes at most the bytes of a span")
+    rows = keyed_texts(need_columns(docs, key, text).withColumnsRenamed({key: "_id", text: "text"}))
+    texts = rows.select("key", "text")
+    passages = materialise(repeated_spans(texts, passage, passage_gram), "spans-passages")
+    spans = materialise(longer_spans(texts, passages, span, gram), "spans-found")
+    copies = rows.groupBy("key").agg(F.count("*").alias("copies")).where("copies > 1").withColumnRenamed("key", "_copied")
+    found = passages.select(F.col("key").alias("_of"), F.col("spans").alias("passages")).join(spans, F.col("_of") == F.col("key"), "left").drop("key")
+    marks = found.join(copies, F.col("_of") == F.col("_copied"), "full").select(F.coalesce("_of", "_copied").alias("_key"), "spans", "passages", "copies")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def cut(data: bytes, found: list[dict] | None, whole: bool, characters: bool = False) -> tuple[bytes, list[tuple[int, int]]]:
+            gone = [(0, len(data))] if whole else merged([(s["start"], s["end"]) for s in found or ()])
+            gone = whole_characters(data, gone) if characters else gone
+            edges = [0, *[e for pair in gone for e in pair], len(data)]
+            return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])), gone
+
+        for batch in by_bytes(batches):
+            out = []
+            for value, repeats, shorter, n in zip(*(batch.column(i).to_pylist() for i in range(1, 5))):
+                data = value.encode()
+                kept, gone = cut(data, repeats, bool(n) and len(data) >= span)
+                left, _ = cut(data, shorter, bool(n) and len(data) >= passage, True)
+                out.append((len(data), kept, sum(b - a for a, b in gone), len(gone), left.decode()))
+            kinds = {"n_bytes": pa.int64(), "kept": pa.binary(), "n_removed": pa.int64(), "n_spans": pa.int64(), "passages_cut": pa.string()}
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(zip(*out), kinds.values()))], names=["_id", *kinds])
+
+    marked = rows.join(marks, F.col("key") == F.col("_key"), "left").select("_id", "text", "spans", "passages", "copies")
+    kind = rows.schema["_id"].dataType.simpleString()
+    return marked.mapInArrow(run, f"_id {kind}, n_bytes long, kept binary, n_removed long, n_spans long, passages_cut string").withColumnRenamed("_id", key)
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The digests, and last the text that remains, as a string: a character of which only a part is cut stands there as U+FFFD."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    _, cut = remove_repeats(docs)
-    digests = cut.select("of", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), F.make_valid_utf8(F.col("kept").cast("string")).alias("kept"))
-    none = F.lit(0).cast("long")
-    return keyed_texts(docs.select("doc_id", "text")).join(digests, F.col("key") == F.col("of"), "left").select(
-        "doc_id",
-        F.octet_length("text").cast("long").alias("n_bytes"),
-        F.coalesce("n_removed", none).alias("n_removed"),
-        F.coalesce("n_spans", none).alias("n_spans"),
-        F.coalesce("kept_sha256", F.lower(F.hex("key"))).alias("kept_sha256"),
-        F.coalesce("kept", "text").alias("text"),
-    )
+    """The digests, then the text that remains, as a string (a character of which only a part is cut stands there as U+FFFD), and last the text
+    without passages of PASSAGE_BYTES, which the other columns leave where they are shorter than SPAN."""
+    found = remove_repeats_and_passages(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    text = F.make_valid_utf8(F.col("kept").cast("string"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), text.alias("text"), F.col("passages_cut").alias("text_without_passages"))

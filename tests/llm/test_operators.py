@@ -497,6 +497,31 @@ def test_repeated_strings_query_gives_the_text_that_remains(spark, tmp_path):
     assert "\ufffd" in found[9].text
 
 
+def test_repeated_strings_query_cuts_passages_of_over_fifty_words(spark, tmp_path):
+    rng = random.Random(50)
+    passages = [prose(600 + i, 55 + i) for i in range(6)] + ["é" + prose(620, 55) + "ü"]
+    assert all(240 <= len(p.encode()) < 400 and len(p.split()) > 50 for p in passages)
+    texts = [f"{prose(700 + 2 * i + k, rng.randrange(20, 60))} {p} {prose(800 + 2 * i + k, rng.randrange(20, 60))}" for i, p in enumerate(passages) for k in range(2)]
+    # runs of several passages, of which some windows of 400 bytes are repeated and others not; one ends within a character
+    texts += [prose(630, 30) + passages[0][:300] + passages[1][5:300] + prose(631, 30), passages[0][20:300] + passages[1][5:290], prose(632, 20) + "é" + prose(633, 120)[:410] + "x", "©" + prose(633, 120)[:410] + "ü" + passages[2]]
+    texts += [prose(634, 40), None, "", prose(635, 60)[:260], prose(635, 60)[:260], prose(636, 300), prose(636, 300), prose(637, 20) + prose(636, 300)[200:650], "ab" * 300]
+    documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    out = substring_dedup.op8_suffix_dedup(spark, str(tmp_path))
+    found = {r.doc_id: r for r in out.collect()}
+    raw = [(t or "").encode() for t in texts]
+
+    def without(data, spans):
+        edges = [0, *[e for p in spans for e in p], len(data)]
+        return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
+
+    for i, (data, spans, shorter) in enumerate(zip(raw, brute_spans(raw, 400), brute_spans(raw, 240))):
+        kept = without(data, spans)
+        assert found[i][1:5] == (len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest())
+        assert found[i].text_without_passages == without(data, substring_dedup.whole_characters(data, shorter)).decode()
+    assert len(found) == len(texts) and all(p not in found[2 * i + k].text_without_passages for i, p in enumerate(passages) for k in range(2))
+    assert found[4].n_removed == 0 and found[4].text == texts[4] and found[18].text_without_passages == texts[18]
+
+
 def test_repeated_strings_at_stretch_borders(spark):
     border, texts = substring_dedup.STRETCH, []
     for i, before in enumerate((0, 1, 60, 150, 200, 250, 330, 399, 400, 410, 450)):  # bytes of the shared string ahead of the border
