@@ -203,6 +203,19 @@ def repeated_windows(contexts: list[tuple[bytes, int, int]], span: int) -> list[
     def settle(run: list[int]) -> None:
         if len(run) == 1 and contexts[owner[run[0]][0]][2] < 2:
             return
+        if len(run) == 2 and all(contexts[owner[i][0]][2] < 2 for i in run):  # two share an alignment if they share as many bytes at both ends
+            (c, one, at), (d, two, to) = ((owner[i][0], contexts[owner[i][0]][0], contexts[owner[i][0]][1] + BLOCK * owner[i][1]) for i in run)
+            before = after = 0
+            while before < min(BLOCK - 1, at, to) and one[at - before - 1] == two[to - before - 1]:
+                before += 1
+            at_end, to_end, ends = at + BLOCK * whole, to + BLOCK * whole, span - BLOCK * whole
+            most = min(ends, len(one) - at_end, len(two) - to_end)
+            while after < most and one[at_end + after] == two[to_end + after]:
+                after += 1
+            for back in range(max(0, ends - after), before + 1):
+                starts[c].add(at - back)
+                starts[d].add(to - back)
+            return
         for back in range(BLOCK):
             seen: dict[tuple[bytes, bytes], list] = {}
             for i in run:
@@ -450,6 +463,7 @@ def remove_repeats_and_passages(docs: DataFrame, span: int = SPAN, gram: int = G
     copies = rows.groupBy("key").agg(F.count("*").alias("copies")).where("copies > 1").withColumnRenamed("key", "_copied")
     found = passages.select(F.col("key").alias("_of"), F.col("spans").alias("passages")).join(spans, F.col("_of") == F.col("key"), "left").drop("key")
     marks = found.join(copies, F.col("_of") == F.col("_copied"), "full").select(F.coalesce("_of", "_copied").alias("_key"), "spans", "passages", "copies")
+    marks = materialise(marks, "spans-marks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def cut(data: bytes, found: list[dict] | None, whole: bool, characters: bool = False) -> tuple[bytes, list[tuple[int, int]]]:
@@ -468,9 +482,11 @@ def remove_repeats_and_passages(docs: DataFrame, span: int = SPAN, gram: int = G
             kinds = {"n_bytes": pa.int64(), "kept": pa.binary(), "n_removed": pa.int64(), "n_spans": pa.int64(), "passages_cut": pa.string()}
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(zip(*out), kinds.values()))], names=["_id", *kinds])
 
-    marked = rows.join(marks, F.col("key") == F.col("_key"), "left").select("_id", "text", "spans", "passages", "copies")
-    kind = rows.schema["_id"].dataType.simpleString()
-    return marked.mapInArrow(run, f"_id {kind}, n_bytes long, kept binary, n_removed long, n_spans long, passages_cut string").withColumnRenamed("_id", key)
+    schema = f"_id {rows.schema['_id'].dataType.simpleString()}, n_bytes long, kept binary, n_removed long, n_spans long, passages_cut string"
+    marked = rows.join(marks, F.col("key") == F.col("_key")).select("_id", "text", "spans", "passages", "copies").mapInArrow(run, schema)
+    none = F.lit(0).cast("long")
+    whole = rows.join(marks.select("_key"), F.col("key") == F.col("_key"), "left_anti").select("_id", F.octet_length("text").cast("long"), F.col("text").cast("binary"), none, none, "text")
+    return marked.union(whole).withColumnRenamed("_id", key)
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
